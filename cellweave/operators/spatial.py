@@ -28,7 +28,7 @@ def _boxed(polygons: DataFrame, keep: Sequence[str]) -> DataFrame:
         *keep, "_rings", G.bbox(F.col("_rings")).alias("_box")
     )
     extent = F.greatest(F.col("_box.max_x") - F.col("_box.min_x"), F.col("_box.max_y") - F.col("_box.min_y"))
-    level = F.when(extent > 0, F.ceil(F.log(F.lit(LEVEL_BASE), extent))).otherwise(F.lit(0))
+    level = F.when(extent > 0, F.ceil(F.log(extent) / F.log(F.lit(LEVEL_BASE)))).otherwise(F.lit(0))
     bounded = F.least(F.greatest(level, F.lit(LOWEST_LEVEL)), F.lit(HIGHEST_LEVEL)).cast("int")
     return boxed.withColumn("_level", bounded)
 

@@ -21,32 +21,44 @@ NEIGHBOURS = {
 def neighbourhood(pixels: DataFrame, keys: Sequence[str] = ("layer",), block: int = BLOCK, value: str = "value") -> DataFrame:
     """Each cell with the values of its eight neighbours (NULL where absent).
 
-    Blocks are shuffled once with a one-cell rim; both windows then run inside a
-    block, so no window ever holds more than one block row or column. A corner
-    neighbour is seen through the cell beside it; where that cell is absent the
-    corner counts as absent too.
+    Blocks are shuffled once with a one-cell rim. Inside a block every cell is set
+    beside the rows above and below it, then the columns left and right are read by
+    a window of at most one block row.
     """
     size = F.lit(int(block))
 
     def blocks(c: str) -> Column:
         return F.explode(F.array_distinct(F.array(*[F.floor((F.col(c) + d) / size) for d in (-1, 0, 1)])))
 
-    cells = pixels.select(*keys, F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), F.col(value).alias("c"))
-    rimmed = cells.withColumn("_br", blocks("row")).withColumn("_bc", blocks("col")).repartition(*keys, "_br", "_bc")
-    along = W.partitionBy(*keys, "_br", "_bc", "row").orderBy("col")
-    down = W.partitionBy(*keys, "_br", "_bc", "col").orderBy("row")
+    cells = pixels.select(
+        *keys, F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), F.col(value).alias("_v")
+    )
+    place = [*keys, "_br", "_bc"]
+    rimmed = cells.withColumn("_br", blocks("row")).withColumn("_bc", blocks("col")).repartition(*place)
+    stacked = rimmed.withColumn("_step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    stacked = stacked.withColumn("row", F.col("row") + F.col("_step"))
+
+    def slot(step: int) -> Column:
+        return F.max(F.when(F.col("_step") == step, F.col("_v")))
+
+    # A cell moved down by one is the row above its new place.
+    triples = stacked.groupBy(*place, "row", "col").agg(
+        F.struct(slot(1).alias("up"), slot(0).alias("mid"), slot(-1).alias("down")).alias("t"),
+        F.max((F.col("_step") == 0)).alias("_cell"),
+    )
+    along = W.partitionBy(*place, "row").orderBy("col")
 
-    def beside(window, axis: str, item, step: int) -> Column:
+    def beside(step: int) -> Column:
         shifted = F.lag if step < 0 else F.lead
-        return F.when(shifted(axis).over(window) == F.col(axis) + step, shifted(item).over(window))
+        return F.when(shifted("col").over(along) == F.col("col") + step, shifted("t").over(along))
 
-    rows = rimmed.withColumns({"w": beside(along, "col", "c", -1), "e": beside(along, "col", "c", 1)})
-    rows = rows.withColumn("_line", F.struct("w", "c", "e"))
-    both = rows.withColumns({"_up": beside(down, "row", "_line", -1), "_down": beside(down, "row", "_line", 1)})
-    own = (F.floor(F.col("row") / size) == F.col("_br")) & (F.floor(F.col("col") / size) == F.col("_bc"))
+    both = triples.withColumns({"_l": beside(-1), "_r": beside(1)})
+    own = F.col("_cell") & (F.floor(F.col("row") / size) == F.col("_br")) & (F.floor(F.col("col") / size) == F.col("_bc"))
     return both.where(own).select(
-        *keys, "row", "col", F.col("_up.w").alias("nw"), F.col("_up.c").alias("n"), F.col("_up.e").alias("ne"),
-        "w", "c", "e", F.col("_down.w").alias("sw"), F.col("_down.c").alias("s"), F.col("_down.e").alias("se"),
+        *keys, "row", "col",
+        F.col("_l.up").alias("nw"), F.col("t.up").alias("n"), F.col("_r.up").alias("ne"),
+        F.col("_l.mid").alias("w"), F.col("t.mid").alias("c"), F.col("_r.mid").alias("e"),
+        F.col("_l.down").alias("sw"), F.col("t.down").alias("s"), F.col("_r.down").alias("se"),
     )
 
 

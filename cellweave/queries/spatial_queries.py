@@ -145,14 +145,40 @@ def settlements(spark, d):
     return T.read(spark, d, "customer").select(k.alias("k"), F.array(F.array(ring)).alias("parts"))
 
 
-@query("j14_count_centroids", None)
+VIEWS["settlement_edges"] = """
+  SELECT k, sx + a.dx / 7 AS xi, sy + a.dy / 7 AS yi, sx + b.dx / 7 AS xj, sy + b.dy / 7 AS yj FROM settlements,
+    (VALUES (0, -7.0::DOUBLE, 0.0::DOUBLE), (1, 0.0, -7.0), (2, 7.0, 0.0), (3, 0.0, 7.0), (4, -7.0, 0.0)) a(i, dx, dy)
+    JOIN (VALUES (0, -7.0::DOUBLE, 0.0::DOUBLE), (1, 0.0, -7.0), (2, 7.0, 0.0), (3, 0.0, 7.0)) b(i, dx, dy) ON a.i = b.i + 1"""
+
+
+@query(
+    "j14_count_centroids",
+    """WITH c AS (SELECT k, sum((xi + xj) * (xj * yi - xi * yj)) / 3 / sum(xj * yi - xi * yj) AS x,
+      sum((yi + yj) * (xj * yi - xi * yj)) / 3 / sum(xj * yi - xi * yj) AS y FROM settlement_edges GROUP BY k),
+    hit AS (SELECT DISTINCT k, id FROM (SELECT c.k, e.id, e.part FROM c JOIN edges e ON e.ring = 0 AND (e.yi > c.y) <> (e.yj > c.y)
+      AND c.x < (e.xj - e.xi) * (c.y - e.yi) / (e.yj - e.yi + 1e-15) + e.xi GROUP BY ALL HAVING count(*) % 2 = 1))
+    SELECT s.id, count(hit.k) AS n_agsub FROM centers s LEFT JOIN hit USING (id) GROUP BY s.id""",
+)
 def _(spark, d):
     return S.count_centroids(T.polygons(spark, d), settlements(spark, d))
 
 
-@query("j15_coverage_share", None)
+@query(
+    "j15_coverage_share",
+    f"""WITH g AS (SELECT id, (i + 0.5::DOUBLE) * 0.5::DOUBLE AS x, (j + 0.5::DOUBLE) * 0.5::DOUBLE AS y FROM (
+      SELECT id, j, unnest(range(floor(min_x / 0.5)::BIGINT, floor(max_x / 0.5)::BIGINT + 1)) AS i FROM (
+        SELECT *, unnest(range(floor(min_y / 0.5)::BIGINT, floor(max_y / 0.5)::BIGINT + 1)) AS j FROM boxes))),
+    own AS (SELECT DISTINCT id, x, y FROM (SELECT g.id, g.x, g.y, e.part FROM g JOIN edges e ON e.id = g.id AND e.ring = 0
+      AND (e.yi > g.y) <> (e.yj > g.y) AND g.x < (e.xj - e.xi) * (g.y - e.yi) / (e.yj - e.yi + 1e-15) + e.xi GROUP BY ALL HAVING count(*) % 2 = 1)),
+    pts AS (SELECT DISTINCT x, y FROM own),
+    hit AS (SELECT DISTINCT x, y FROM (SELECT p.x, p.y, e.k FROM pts p JOIN settlements s ON abs(p.x - s.sx) <= 1.1 AND abs(p.y - s.sy) <= 1.1
+      JOIN settlement_edges e ON e.k = s.k AND (e.yi > p.y) <> (e.yj > p.y)
+      AND p.x < (e.xj - e.xi) * (p.y - e.yi) / (e.yj - e.yi + 1e-15) + e.xi GROUP BY ALL HAVING count(*) % 2 = 1))
+    SELECT c.id, {even('count(hit.x) / nullif(count(own.x), 0)', 4)} AS pct_area_agsub FROM centers c LEFT JOIN own USING (id)
+      LEFT JOIN hit ON hit.x = own.x AND hit.y = own.y GROUP BY c.id""",
+)
 def _(spark, d):
-    return S.coverage_share(T.polygons(spark, d), settlements(spark, d), 0.25)
+    return S.coverage_share(T.polygons(spark, d), settlements(spark, d), 0.5)
 
 
 # --- grids -----------------------------------------------------------------------------
@@ -319,11 +345,11 @@ def _(spark, d):
     l2 AS (SELECT layer, "row" // 2 AS "row", "col" // 2 AS "col", avg(value) AS value FROM l1 GROUP BY ALL),
     l3 AS (SELECT layer, "row" // 2 AS "row", "col" // 2 AS "col", avg(value) AS value FROM l2 GROUP BY ALL),
     u AS (SELECT 0 AS level, * FROM scenes UNION ALL SELECT 1, * FROM l1 UNION ALL SELECT 2, * FROM l2 UNION ALL SELECT 3, * FROM l3)
-    SELECT layer, level, "row", "col", {even('value', 4)} AS value FROM u""",
+    SELECT layer, level, "row", "col", {even('value', 8)} AS value FROM u""",
 )
 def _(spark, d):
     levels = OG.overviews(T.scenes(spark, d), "average", 3)
-    return levels.withColumn("value", N.round_even(F.col("value"), 4))
+    return levels.withColumn("value", N.round_even(F.col("value"), 8))
 
 
 @query(
@@ -380,7 +406,6 @@ def flow_sql() -> str:
     options = " UNION ALL ".join(
         f"""SELECT layer, "row", "col", {rank} AS rank, (c - {n}) / sqrt({dd}.0::DOUBLE) AS drop_, "row" + {a} AS tr, "col" + {b} AS tc FROM nb WHERE c > {n}
         """
-        + (f"AND {'n' if a < 0 else 's'} IS NOT NULL" if a and b else "")
         for rank, (n, (a, b, dd)) in enumerate(D8.items())
     )
     return f"""{neighbours_sql('dem')}, options AS ({options}),
