@@ -20,7 +20,6 @@ from cellweave.functions.numeric import mask_nodata, round_even, set_nodata
 from cellweave.functions.projection import (
     MERCATOR_HALF_WORLD,
     WEB_MERCATOR,
-    WGS84_A,
     is_separable,
     transform,
 )
@@ -140,7 +139,7 @@ def _axis(a: Column, b: Column, origin: Column, size: Column, count: Column | No
 
 def _cover(
     pixels: DataFrame, meta: GridMeta, target_crs: str, tox: Column, toy: Column, size: Column,
-    width: Column | None, height: Column | None, spare: int = 0,
+    width: Column | None, height: Column | None, reach: tuple[float, float] = (0.0, 0.0),
 ) -> DataFrame:
     """Target cells (_trow, _tcol) whose centre falls into each source cell.
 
@@ -171,28 +170,49 @@ def _cover(
         across = pixels.withColumn("_tcol", F.explode(columns)).where(owns(back(cx, toy)[0], None))
         return across.withColumn("_trow", F.explode(rows)).where(owns(None, back(tox, cy)[1]))
 
-    corners = [forward(x, y) for x in (west, east) for y in (north, south)]
-    # The image of an edge bows by at most edge^2 / earth radius; `spare` cells cover it.
-    reach = size * spare
-    xs, ys = [c[0] for c in corners], [c[1] for c in corners]
-    columns = _axis(F.least(*xs) - reach, F.greatest(*xs) + reach, tox, size, width)
-    rows = _axis(-F.greatest(*ys) - reach, -F.least(*ys) + reach, -toy, size, height)
-    both = pixels.withColumn("_tcol", F.explode(columns)).withColumn("_trow", F.explode(rows))
+    # One projected centre per cell; `reach` bounds how far the cell's image extends from it.
+    staged = pixels.withColumns(dict(zip(("_fx", "_fy"), forward(*pixel_center(m, row, col)))))
+    fx, fy = F.col("_fx"), F.col("_fy")
+    columns = _axis(fx - reach[0], fx + reach[0], tox, size, width)
+    rows = _axis(-fy - reach[1], -fy + reach[1], -toy, size, height)
+    both = staged.withColumn("_tcol", F.explode(columns)).withColumn("_trow", F.explode(rows)).drop("_fx", "_fy")
     return both.where(owns(*back(cx, cy)))
 
 
-def target_grid(spark, meta: GridMeta, crs: str, scale: float) -> GridMeta:
-    """The grid that holds the whole raster in another system, anchored at multiples of ``scale``."""
+EDGE_STEPS = 16
+REACH_MARGIN = 1.25
+
+
+def _edge_points(spark, meta: GridMeta) -> DataFrame:
+    """Positions (x, y) along the raster's border."""
     west, south, east, north = meta.extent
+    steps = [i / EDGE_STEPS for i in range(EDGE_STEPS + 1)]
+    points = [(west + (east - west) * t, y) for t in steps for y in (south, north)]
+    points += [(x, south + (north - south) * t) for t in steps for x in (west, east)]
+    return spark.createDataFrame(points, "x DOUBLE, y DOUBLE")
+
+
+def _reach(spark, meta: GridMeta, crs: str) -> tuple[float, float]:
+    """Half-extent, with a margin, of any cell's image in another system.
+
+    The systems are conformal and smooth, so the stretch over a raster is greatest
+    on its border, where it is measured.
+    """
     forward = transform(meta.crs, crs)
-    steps = [i / 16 for i in range(17)]
-    edge = [(west + (east - west) * t, y) for t in steps for y in (south, north)]
-    edge += [(x, south + (north - south) * t) for t in steps for x in (west, east)]
-    out = [forward(F.lit(float(x)), F.lit(float(y))) for x, y in edge]
-    ends = spark.range(1).select(
-        F.least(*[p[0] for p in out]), F.least(*[p[1] for p in out]),
-        F.greatest(*[p[0] for p in out]), F.greatest(*[p[1] for p in out]),
-    ).first()
+    edge = _edge_points(spark, meta)
+    moved = {}
+    for name, dx, dy in (("o", 0.0, 0.0), ("e", meta.sx, 0.0), ("n", 0.0, meta.sy)):
+        moved[f"{name}x"], moved[f"{name}y"] = forward(F.col("x") + dx, F.col("y") + dy)
+    spans = [F.max(F.abs(F.col(f"e{a}") - F.col(f"o{a}")) + F.abs(F.col(f"n{a}") - F.col(f"o{a}"))) for a in "xy"]
+    x, y = edge.select(*[c.alias(n) for n, c in moved.items()]).agg(*spans).first()
+    return REACH_MARGIN * x / 2, REACH_MARGIN * y / 2
+
+
+def target_grid(spark, meta: GridMeta, crs: str, scale: float) -> GridMeta:
+    """The grid that holds the whole raster in another system, anchored at multiples of ``scale``."""
+    x, y = transform(meta.crs, crs)(F.col("x"), F.col("y"))
+    border = _edge_points(spark, meta).select(x.alias("tx"), y.alias("ty"))
+    ends = border.agg(F.min("tx"), F.min("ty"), F.max("tx"), F.max("ty")).first()
     ox, oy = math.floor(ends[0] / scale) * scale, math.ceil(ends[3] / scale) * scale
     return GridMeta(
         width=math.ceil((ends[2] - ox) / scale), height=math.ceil((oy - ends[1]) / scale),
@@ -204,9 +224,8 @@ def reproject(pixels: DataFrame, meta: GridMeta, crs: str, scale: float) -> tupl
     """Nearest-cell reprojection; target cells outside the source are not produced."""
     target = target_grid(pixels.sparkSession, meta, crs, scale)
     t = target.columns()
-    longest = max(meta.sx, meta.sy)
-    spare = 0 if is_separable(meta.crs, crs) else 1 + math.ceil(longest**2 / (WGS84_A * scale))
-    moved = _cover(pixels, meta, crs, t["ox"], t["oy"], t["sx"], t["width"], t["height"], spare)
+    reach = (0.0, 0.0) if is_separable(meta.crs, crs) else _reach(pixels.sparkSession, meta, crs)
+    moved = _cover(pixels, meta, crs, t["ox"], t["oy"], t["sx"], t["width"], t["height"], reach)
     return moved.withColumns({"row": F.col("_trow"), "col": F.col("_tcol")}).drop("_trow", "_tcol"), target
 
 

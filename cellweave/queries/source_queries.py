@@ -1 +1,276 @@
-"""To come."""
+"""Readers and writers, each through a round trip of derived tables in the shared folder."""
+
+from __future__ import annotations
+
+import struct
+
+import numpy as np
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from cellweave.functions import geometry as G
+from cellweave.functions.numeric import round_even
+from cellweave.operators import grid as OG
+from cellweave.operators import nested as NE
+from cellweave.plans import transit as TR
+from cellweave.queries import tables as T
+from cellweave.queries.catalog import even, query
+from cellweave.queries.spatial_queries import settlements
+from cellweave.session import scratch_path
+from cellweave.sources import rasters as RS
+from cellweave.sources import readers as RD
+from cellweave.sources import registries as RG
+from cellweave.sources import sinks as SK
+
+
+@query("src01_read_gtfs", "SELECT stop_id, stop_code, stop_name, stop_lat, stop_lon FROM stops")
+def _(spark, d):
+    folder = scratch_path(spark, "feed")
+    SK.write_csv(T.stops(spark, d), f"{folder}/stops.txt")
+    return RD.read_gtfs(spark, folder, "stops")
+
+
+@query(
+    "src01_service_dates",
+    "SELECT o_orderkey::VARCHAR AS service_id, (o_orderkey % 2)::INTEGER AS monday, o_orderdate::DATE AS start_date, (o_orderdate + INTERVAL 90 DAY)::DATE AS end_date FROM orders",
+)
+def _(spark, d):
+    folder = scratch_path(spark, "feed")
+    rows = T.read(spark, d, "orders").select(
+        F.col("o_orderkey").alias("service_id"), (F.col("o_orderkey") % 2).alias("monday"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"), F.date_format(F.date_add("o_orderdate", 90), "yyyyMMdd").alias("end_date"),
+    )
+    SK.write_csv(rows, f"{folder}/calendar.txt")
+    return RD.service_dates(RD.read_gtfs(spark, folder, "calendar")).select("service_id", "monday", "start_date", "end_date")
+
+
+FEATURE_SQL = f"""SELECT c.id, c.name, count(v.id) AS n_vertices, {even('sum(v.x)', 4)} AS sx FROM centers c LEFT JOIN vertices v USING (id) GROUP BY c.id, c.name"""
+
+
+def polygon_features(spark, d):
+    props = {"neighbourhood_number": F.col("id"), "neighbourhood_name": F.col("name"), "ord": F.col("ord")}
+    return NE.to_feature(T.polygons(spark, d), NE.polygon_geometry(F.col("parts")), props, keep=["ord"])
+
+
+def vertex_summary(polygons):
+    points = G.all_vertices(F.flatten("parts"))
+    total = F.aggregate(points, F.lit(0.0), lambda acc, v: acc + v["x"])
+    n = F.size(points)
+    return polygons.select("id", "name", n.cast("bigint").alias("n_vertices"), round_even(F.when(n > 0, total), 4).alias("sx"))
+
+
+@query("src02_read_geojson", FEATURE_SQL)
+def _(spark, d):
+    path = scratch_path(spark, "geojson")
+    docs = polygon_features(spark, d).groupBy(F.expr("ord div 50").alias("doc")).agg(F.collect_list("feature").alias("features"))
+    text = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
+    docs.select("doc", text.alias("value")).repartition("doc").write.partitionBy("doc").text(path)
+    return vertex_summary(RD.read_geojson(spark, path))
+
+
+@query("src02_read_geojson_lines", FEATURE_SQL)
+def _(spark, d):
+    path = scratch_path(spark, "features")
+    SK.write_geojson(polygon_features(spark, d), path)
+    return vertex_summary(RD.read_geojson_lines(spark, path))
+
+
+@query("src03_read_sidra", "SELECT neighbourhood_number AS number, class_id, text FROM census_long")
+def _(spark, d):
+    path = scratch_path(spark, "landing")
+    batches = T.census_responses(spark, d).groupBy(F.expr("cast(resultados[0].series[0].localidade.id as int) div 50").alias("batch")).agg(
+        F.to_json(F.collect_list(F.struct("id", "variavel", "unidade", "resultados"))).alias("value")
+    )
+    batches.repartition("batch").write.partitionBy("batch").text(path)
+    flat = NE.expand_results(RD.read_sidra(spark, path))
+    code = NE.extract_classification(F.col("classificacoes"), 386)["id"]
+    return flat.select(F.col("localidade_id").alias("number"), code.alias("class_id"), F.col("serie")["2010"].alias("text"))
+
+
+def tiff_bytes(width: int, height: int, values: np.ndarray) -> bytes:
+    """An uncompressed single-strip float32 raster at the scenes' position."""
+    head = 8 + 2 + 12 * 8 + 4
+    scale, tie = struct.pack("<3d", 0.0025, 0.0025, 0.0), struct.pack("<6d", 0, 0, 0, -51.40, -29.88, 0)
+    data_at = head + len(scale) + len(tie)
+    entries = [
+        (256, 4, 1, width), (257, 4, 1, height), (258, 3, 1, 32), (259, 3, 1, 1), (273, 4, 1, data_at), (339, 3, 1, 3),
+        (33550, 12, 3, head), (33922, 12, 6, head + len(scale)),
+    ]
+    directory = struct.pack("<H", len(entries)) + b"".join(struct.pack("<HHII", *e) for e in entries) + struct.pack("<I", 0)
+    return b"II*\0" + struct.pack("<I", 8) + directory + scale + tie + values.astype("<f4").tobytes()
+
+
+def encode_scene(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One scene of 64 x 64 cells as file bytes; absent cells are nodata."""
+    cells = np.full((64, 64), -9999.0)
+    cells[pdf["row"], pdf["col"]] = pdf["value"].to_numpy()
+    return pd.DataFrame({"path": [f"/{pdf['layer'].iloc[0]}.tif"], "content": [tiff_bytes(64, 64, cells)]})
+
+
+@query(
+    "src04_decode_rasters",
+    """SELECT l.layer, r AS "row", c AS "col", s.value::FLOAT::DOUBLE AS value, 64 AS width, 64 AS height, 0.0025::DOUBLE AS sx, 0.0025::DOUBLE AS sy, -51.40::DOUBLE AS ox, -29.88::DOUBLE AS oy
+    FROM (SELECT DISTINCT layer FROM scenes) l, (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c) LEFT JOIN scenes s ON s.layer = l.layer AND s."row" = r AND s."col" = c""",
+)
+def _(spark, d):
+    # A scene holds at most 64 x 64 cells, so a group is bounded by construction.
+    files = T.scene_raw(spark, d).groupBy("layer").applyInPandas(encode_scene, "path STRING, content BINARY")
+    return RS.decode_rasters(files)
+
+
+def obs_store(spark, d):
+    path = scratch_path(spark, "obs")
+    rows = T.obs(spark, d).withColumn("day", F.to_date("ts"))
+    rows.withColumn("year", F.year("ts")).repartition("band", "year").sortWithinPartitions("day", "row", "col").write.partitionBy("band", "year").parquet(path)
+    return path
+
+
+@query("src05_image_collection", """SELECT layer, "row", "col", image_id, value FROM obs WHERE band = 'A' AND ts >= TIMESTAMP '2023-01-01' AND ts < TIMESTAMP '2024-01-01'""")
+def _(spark, d):
+    stored = RD.image_collection(spark, obs_store(spark, d))
+    return stored.where((F.col("band") == "A") & (F.col("year") == 2023)).select("layer", "row", "col", "image_id", "value")
+
+
+@query("src06_image", """SELECT layer, "row", "col", value FROM obs WHERE band = 'N' AND image_id = '2024-02'""")
+def _(spark, d):
+    return RD.image(spark, obs_store(spark, d), "2024-02", "N").select("layer", "row", "col", "value")
+
+
+@query("src07_read_lut", "SELECT lut_id, v, r, g, b, CASE WHEN p % 3 = 0 THEN 255 ELSE p % 100 END AS a, is_nv FROM (SELECT *, (v // 25000)::INTEGER AS q, coalesce((v / 25000)::INTEGER, 19) AS p FROM lut)")
+def _(spark, d):
+    path = scratch_path(spark, "luts")
+    p = F.coalesce((F.col("v") / 25000).cast("int"), F.lit(19))
+    first = F.when(F.col("is_nv"), "nv").otherwise(F.col("v").cast("string"))
+    alpha = F.when(p % 3 == 0, "").otherwise(F.concat(F.lit(" "), p % 100))
+    line = F.concat(first, F.lit("  "), "r", F.lit(" "), "g", F.lit("\t"), "b", alpha)
+    noise = F.when(p == 0, F.array(F.lit("# a comment 1 2 3"), F.lit("   "), line)).otherwise(F.array(line))
+    T.lut(spark, d).select("lut_id", F.explode(noise).alias("value")).write.partitionBy("lut_id").text(path)
+    return RD.parse_lut(spark.read.text(path))
+
+
+@query("src08_read_registry", "SELECT dataset_id, license, 'scale' || k AS unit, k / 8.0::DOUBLE AS scale, ['https://example.org/' || k] AS urls, CASE WHEN k % 3 = 0 THEN 2 END AS n_classes FROM ds")
+def _(spark, d):
+    path = scratch_path(spark, "registry")
+    k = F.col("k")
+    url = F.concat(F.lit("https://example.org/"), k)
+    # Every second entry gives its url as a list, the others as text.
+    assets = F.when(k % 2 == 0, F.concat(F.lit('{"download":{"cog_url":["'), url, F.lit('"]}}'))).otherwise(F.concat(F.lit('{"download":{"cog_url":"'), url, F.lit('"}}')))
+    classes = F.when(k % 3 == 0, ',"classes":{"0":{"name":"a","color":"#000000"},"1":{"name":"b","color":"#FFFFFF"}}').otherwise("")
+    license_ = F.when(F.col("license").isNotNull(), F.concat(F.lit(',"license":"'), "license", F.lit('"'))).otherwise("")
+    entry = F.concat(
+        F.lit('{"dataset_id":"'), "dataset_id", F.lit('"'), license_, F.lit(',"value_encoding":{"scale":'), (k / 8).cast("string"),
+        F.lit(',"unit":"scale'), k, F.lit('"'), classes, F.lit('},"assets":'), assets, F.lit("}"),
+    )
+    files = T.datasets(spark, d).groupBy(F.expr("k div 100").alias("file")).agg(F.concat(F.lit('{"datasets":['), F.array_join(F.collect_list(entry), ","), F.lit("]}")).alias("value"))
+    files.repartition("file").write.partitionBy("file").text(path)
+    rows = RG.read_registry(spark, f"{path}/*/*.txt", "datasets")
+    return rows.select(
+        "dataset_id", "license", F.col("value_encoding.unit").alias("unit"), F.col("value_encoding.scale").alias("scale"),
+        F.col("assets")["download"]["cog_url"].alias("urls"), F.when(F.col("classes").isNotNull(), F.size("classes")).alias("n_classes"),
+    )
+
+
+@query("src09_missing_input", "SELECT stop_id, NULL::VARCHAR AS route_id FROM stops")
+def _(spark, d):
+    folder = scratch_path(spark, "feed")
+    SK.write_csv(T.stops(spark, d), f"{folder}/stops.txt")
+    absent = RD.read_gtfs(spark, folder, "trips", on_missing="empty").select(F.col("trip_id").alias("stop_id"), "route_id")
+    return RD.read_gtfs(spark, folder, "stops").select("stop_id").join(absent, "stop_id", "left")
+
+
+@query("src10_read_metadata", "SELECT 'S' || p_partkey AS layer, CASE WHEN p_partkey % 3 <> 0 THEN '2024' END AS time_period, 'terrain_rgb' AS type, 0.5::DOUBLE AS scale, (p_partkey % 10)::DOUBLE AS \"offset\" FROM part")
+def _(spark, d):
+    k, path = F.col("p_partkey"), scratch_path(spark, "metadata")
+    rows = T.read(spark, d, "part").select(
+        F.concat(F.lit("S"), k).alias("layer"), F.lit("d").alias("description"), F.when(k % 3 != 0, "2024").alias("time_period"),
+        F.lit(0.5).alias("scale"), (k % 10).alias("offset"), F.lit("m").alias("unit"),
+    )
+    NE.layer_metadata(rows).select(F.col("document").alias("value")).write.text(path)
+    return RD.read_metadata(spark, path, lines=True).select("layer", "time_period", "encoding.type", "encoding.scale", "encoding.offset")
+
+
+@query("src11_settlement_source", "SELECT k::VARCHAR AS id, 5::BIGINT AS n_vertices FROM settlements")
+def _(spark, d):
+    path = scratch_path(spark, "settlements")
+    SK.write_geojson(NE.to_feature(settlements(spark, d), NE.polygon_geometry(F.col("parts")), {"code": F.col("k").cast("string")}), path)
+    rows = RD.read_geojson_lines(spark, path, id_key="code", name_key="code")
+    return rows.select("id", F.size(G.all_vertices(F.flatten("parts"))).cast("bigint").alias("n_vertices"))
+
+
+# --- sinks -----------------------------------------------------------------------------
+@query("snk01_write_csv", "SELECT stop_id, stop_code, stop_lat FROM stops")
+def _(spark, d):
+    path = scratch_path(spark, "csv")
+    SK.write_csv(T.stops(spark, d).select("stop_id", "stop_code", "stop_lat"), path)
+    return spark.read.option("header", True).schema("stop_id STRING, stop_code STRING, stop_lat DOUBLE").csv(path)
+
+
+@query("snk02_write_geojson", "SELECT stop_id, stop_lon, stop_code FROM stops WHERE stop_lon IS NOT NULL")
+def _(spark, d):
+    path = scratch_path(spark, "geojson")
+    SK.write_geojson(TR.stop_features(T.stops(spark, d)), path)
+    rows = spark.read.schema("geometry STRUCT<coordinates: ARRAY<DOUBLE>>, properties STRUCT<stop_id: STRING, stop_code: STRING>").json(path)
+    return rows.select("properties.stop_id", F.col("geometry.coordinates")[0].alias("stop_lon"), "properties.stop_code")
+
+
+@query("snk02_feature_document", "SELECT count(*) AS n_lines FROM (SELECT stop_id FROM stops WHERE stop_lon IS NOT NULL UNION ALL SELECT 'head' UNION ALL SELECT 'tail')")
+def _(spark, d):
+    path = scratch_path(spark, "document")
+    SK.write_feature_collection(NE.to_feature_collection(TR.stop_features(T.stops(spark, d)), "stop_id"), path)
+    return spark.read.text(path).agg(F.count("*").alias("n_lines"))
+
+
+@query("snk03_write_pixels", """SELECT layer, "row", "col", value FROM scenes WHERE "row" < 20""")
+def _(spark, d):
+    path = scratch_path(spark, "pixels")
+    SK.write_pixels(T.scenes(spark, d), path)
+    return spark.read.parquet(path).where("row < 20").select("layer", "row", "col", "value")
+
+
+@query("snk04_write_overviews", """SELECT layer, "row" >> 1 AS "row", "col" >> 1 AS "col", value FROM scenes WHERE "row" % 2 = 0 AND "col" % 2 = 0""")
+def _(spark, d):
+    path = scratch_path(spark, "overviews")
+    SK.write_overviews(OG.overviews(T.scenes(spark, d), "nearest", 2), path)
+    return spark.read.parquet(path).where("level = 1").select("layer", "row", "col", "value")
+
+
+@query("snk05_write_tiles", None)
+def _(spark, d):
+    path = scratch_path(spark, "tiles")
+    SK.write_tiles(OG.tile(T.scenes(spark, d), T.SCENE, 8, 11), path)
+    tiles = spark.read.parquet(path).where("z = 11")
+    return tiles.groupBy("layer", "x", "y").agg(F.count("*").alias("n_px"), F.max("value").alias("top"))
+
+
+@query("snk06_write_metadata", "SELECT 'S' || p_partkey % 10 AS layer, count(*) AS n FROM part GROUP BY 1")
+def _(spark, d):
+    path = scratch_path(spark, "metadata")
+    rows = T.read(spark, d, "part").select(
+        F.concat(F.lit("S"), F.col("p_partkey") % 10).alias("layer"), F.col("p_name").alias("description"), F.lit("2024").alias("time_period"),
+        F.lit(0.1).alias("scale"), F.lit(0.0).alias("offset"), F.lit("m").alias("unit"),
+    )
+    SK.write_metadata(NE.layer_metadata(rows), path)
+    return spark.read.text(path).groupBy("layer").agg(F.count("*").alias("n"))
+
+
+@query("snk07_publish", "SELECT n_nationkey, n_name, true AS refused FROM nation JOIN customer ON c_nationkey = n_nationkey")
+def _(spark, d):
+    root = scratch_path(spark, "store")
+    rows = T.read(spark, d, "customer").join(T.read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_nationkey", "n_name")
+    keys = {"scope": "poa", "dataset_id": "nations", "version": "v1", "period": "2024"}
+    path = SK.publish(rows, root, **keys)
+    try:
+        SK.publish(rows.limit(0), root, **keys)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return spark.read.parquet(path).withColumn("refused", F.lit(refused))
+
+
+@query("snk08_idempotent_output", """SELECT layer, count(*) AS n FROM scenes GROUP BY layer""")
+def _(spark, d):
+    path = scratch_path(spark, "again")
+    for _ in range(2):
+        SK.write_pixels(T.scenes(spark, d), path)
+    return spark.read.parquet(path).groupBy("layer").agg(F.count("*").alias("n"))

@@ -328,11 +328,11 @@ def _(spark, d):
     return OG.tile(T.scenes(spark, d), T.SCENE, 8, 12)
 
 
-VIEWS["coded"] = """SELECT layer, "row", "col", (n & 255)::INTEGER AS r, ((n >> 8) & 255)::INTEGER AS g, ((n >> 16) & 255)::INTEGER AS b
+VIEWS["packed_cells"] = """SELECT layer, "row", "col", (n & 255)::INTEGER AS r, ((n >> 8) & 255)::INTEGER AS g, ((n >> 16) & 255)::INTEGER AS b
   FROM (SELECT *, CASE WHEN value IS NULL THEN 0 ELSE round_even(least(greatest(value, 0), 16777215), 0)::BIGINT END AS n FROM scenes)"""
 
 
-@query("g06_value_tiles", tile_sql("coded", T.SCENE, range(10, 12), "layer, r, g, b"))
+@query("g06_value_tiles", tile_sql("packed_cells", T.SCENE, range(10, 12), "layer, r, g, b"))
 def _(spark, d):
     from cellweave.plans.products import PRODUCTS, product_tiles
 

@@ -18,7 +18,7 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
 FIELD_WIDTH = 128
 VIEWS["field_cells"] = """
   SELECT o_orderkey // 128 AS "row", o_orderkey % 128 AS "col",
-         CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice END AS value FROM orders"""
+         CASE WHEN o_orderkey % 97 <> 0 THEN floor(o_totalprice) END AS value FROM orders"""
 VIEWS["field_points"] = """
   SELECT "row", "col", value, "col" + 0.5::DOUBLE AS x, -("row" + 0.5::DOUBLE) AS y FROM field_cells"""
 
@@ -28,7 +28,7 @@ def field_cells(spark: SparkSession, d: str) -> DataFrame:
     return o.select(
         F.expr("o_orderkey div 128").alias("row"),
         (F.col("o_orderkey") % 128).alias("col"),
-        F.when(F.col("o_orderkey") % 97 != 0, F.col("o_totalprice")).alias("value"),
+        F.when(F.col("o_orderkey") % 97 != 0, F.floor("o_totalprice").cast("double")).alias("value"),
     )
 
 

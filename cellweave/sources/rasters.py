@@ -61,23 +61,27 @@ def _pixel_batches(name: str, data: bytes, nodata: float | None) -> Iterator[pd.
         )
 
 
-def read_rasters(spark: SparkSession, path: str, nodata: float | None = -9999.0, on_missing: str = "fail") -> DataFrame:
-    """Pixels and georeferencing of raster files; the layer is the file name's stem.
+def decode_rasters(files: DataFrame, nodata: float | None = -9999.0) -> DataFrame:
+    """Pixels and georeferencing of (path, content) rows, emitted in row bands.
 
-    One file per task, emitted in row bands. NaN and nodata cells come out NULL.
+    The layer is the file name's stem. NaN and nodata cells come out NULL.
     """
 
-    def read() -> DataFrame:
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
+    def explode_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file_path, content in zip(batch["path"], batch["content"]):
+                stem = file_path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+                yield from _pixel_batches(stem, bytes(content), nodata)
+
+    pixels = files.select("path", "content").mapInPandas(explode_files, RASTER)
+    return pixels.withColumn("value", mask_nodata(F.col("value"), nodata))
 
-        def explode_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for file_path, content in zip(batch["path"], batch["content"]):
-                    stem = file_path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-                    yield from _pixel_batches(stem, bytes(content), nodata)
 
-        pixels = files.mapInPandas(explode_files, RASTER)
-        return pixels.withColumn("value", mask_nodata(F.col("value"), nodata))
+def read_rasters(spark: SparkSession, path: str, nodata: float | None = -9999.0, on_missing: str = "fail") -> DataFrame:
+    """Raster files of a folder or glob; larger rasters arrive as Parquet pixel tables."""
+
+    def read() -> DataFrame:
+        return decode_rasters(spark.read.format("binaryFile").load(path), nodata)
 
     return read_or(spark, read, RASTER, on_missing)
 

@@ -201,10 +201,10 @@ def read_lut(spark: SparkSession, path: str, on_missing: str = "fail") -> DataFr
     return read_or(spark, read, LUT, on_missing)
 
 
-def read_metadata(spark: SparkSession, path: str, on_missing: str = "fail") -> DataFrame:
-    """Layer metadata documents."""
+def read_metadata(spark: SparkSession, path: str, on_missing: str = "fail", lines: bool = False) -> DataFrame:
+    """Layer metadata: one document per file, or one per line."""
 
     def read() -> DataFrame:
-        return spark.read.schema(METADATA).option("multiLine", True).json(path)
+        return spark.read.schema(METADATA).option("multiLine", not lines).json(path)
 
     return read_or(spark, read, METADATA, on_missing)

@@ -54,9 +54,10 @@ def read_registry(spark: SparkSession, path: str, kind: str, on_missing: str = "
         def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             import yaml
 
+            loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
             for batch in batches:
                 for content in batch["content"]:
-                    document = yaml.safe_load(bytes(content)) or {}
+                    document = yaml.load(bytes(content), Loader=loader) or {}
                     lines = [json.dumps(entry, default=str) for entry in document.get(kind) or []]
                     yield pd.DataFrame({"value": pd.Series(lines, dtype=str)})
 
