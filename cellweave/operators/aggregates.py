@@ -49,6 +49,14 @@ def composite_mode(obs: DataFrame, keys: Sequence[str] = CELL, value: str = "val
     observations one cell has.
     """
     counts = obs.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    if dict(obs.dtypes)[value] in ("tinyint", "smallint", "int"):
+        # Count and code in one BIGINT keep the second aggregate hash-based: the count
+        # in the upper half, and below it the distance to the largest code.
+        top = F.lit(2**31 - 1).cast("bigint")
+        packed = F.shiftleft("_n", 32).bitwiseOR(top - F.col(value))
+        code = top - F.col("_best").bitwiseAND(F.lit(2**32 - 1))
+        best = counts.groupBy(*keys).agg(F.max(packed).alias("_best"))
+        return best.select(*keys, code.cast(dict(obs.dtypes)[value]).alias(value))
     best = F.min(F.struct((-F.col("_n")).alias("_rank"), F.col(value).alias("_v")))
     return counts.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best._v").alias(value))
 
@@ -100,7 +108,7 @@ def percentile_exact(df: DataFrame, value: str, probs: Sequence[float], keys: Se
     def holds(position: str) -> Column:
         return (F.col("_from") <= F.col(position)) & (F.col(position) < F.col("_upto"))
 
-    hit = join_small(spans, wanted, list(keys)).where(holds("_lo") | holds("_hi"))
+    hit = join_small(spans, wanted, list(keys), settled=True).where(holds("_lo") | holds("_hi"))
     picked = hit.groupBy(*keys, "prob").agg(
         F.max(F.when(holds("_lo"), F.col(value))).alias("_a"),
         F.max(F.when(holds("_hi"), F.col(value))).alias("_b"),
@@ -136,7 +144,7 @@ def normalize_minmax(df: DataFrame, col: str, keys: Sequence[str] = (), out: str
         ends = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("e")).scalar()
         return df.withColumn(out, scaled(ends["lo"], ends["hi"]))
     ends = settle(df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")))
-    return join_small(df, ends, list(keys), "left").withColumn(out, scaled(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+    return join_small(df, ends, list(keys), "left", settled=True).withColumn(out, scaled(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
 
 
 def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
@@ -199,8 +207,8 @@ def to_linestrings(
     if longest <= max_vertices:
         return collect(points, [key]).select(key, F.lit(0).cast("bigint").alias("part"), "coordinates")
     large = settle(sizes.where(F.col("_n") > max_vertices).select(key))
-    ordinary = collect(join_small(points, large, key, "left_anti"), [key]).withColumn("part", F.lit(0).cast("bigint"))
-    ranked = running_total(join_small(points, large, key, "left_semi"), [seq], keys=[key], out="_rank")
+    ordinary = collect(join_small(points, large, key, "left_anti", settled=True), [key]).withColumn("part", F.lit(0).cast("bigint"))
+    ranked = running_total(join_small(points, large, key, "left_semi", settled=True), [seq], keys=[key], out="_rank")
     pieces = collect(ranked.withColumn("part", F.expr(f"(_rank - 1) div {int(max_vertices)}")), [key, "part"])
     return ordinary.select(key, "part", "coordinates").unionByName(pieces.select(key, "part", "coordinates"))
 

@@ -35,43 +35,48 @@ def _with_table(pixels: DataFrame, lut: DataFrame) -> DataFrame:
     return join_small(pixels, lut_entries(lut), "lut_id", "left")
 
 
-def lut_bracket(pixels: DataFrame, lut: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``lo`` (last entry not above the value) and ``hi`` (first not below it)."""
-    v = F.col(value)
+def _bracket(v: Column) -> tuple[Column, Column]:
+    """Last entry not above the value, first not below it."""
     below = F.filter(F.col("entries"), lambda e: e["v"] <= v)
     above = F.filter(F.col("entries"), lambda e: e["v"] >= v)
-    joined = _with_table(pixels, lut)
-    return joined.withColumns(
-        {"lo": F.try_element_at(below, F.lit(-1)), "hi": F.try_element_at(above, F.lit(1))}
-    ).drop("entries", "nv")
+    return F.try_element_at(below, F.lit(-1)), F.try_element_at(above, F.lit(1))
 
 
-def lut_nearest(pixels: DataFrame, lut: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``entry``: the closest entry of the table, the lower one on a tie."""
-    v = F.col(value)
+def _closest(v: Column) -> Column:
+    """Closest entry, the lower one on a tie; NULL for a missing value."""
+    fields = ("v", "r", "g", "b")
     ranked = F.transform(
-        F.col("entries"), lambda e: F.struct(F.abs(e["v"] - v).alias("d"), e["v"].alias("v"), e["r"].alias("r"), e["g"].alias("g"), e["b"].alias("b"))
+        F.col("entries"), lambda e: F.struct(F.abs(e["v"] - v).alias("d"), *[e[n].alias(n) for n in fields])
     )
     best = F.array_min(ranked)
-    picked = F.when(v.isNotNull(), F.struct(*[best[n].alias(n) for n in ("v", "r", "g", "b")]))
-    return _with_table(pixels, lut).withColumn("entry", picked).drop("entries", "nv")
+    return F.when(v.isNotNull(), F.struct(*[best[n].alias(n) for n in fields]))
+
+
+def lut_bracket(pixels: DataFrame, lut: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``lo`` and ``hi``, the entries around the value."""
+    lo, hi = _bracket(F.col(value))
+    return _with_table(pixels, lut).withColumns({"lo": lo, "hi": hi}).drop("entries", "nv")
+
+
+def lut_nearest(pixels: DataFrame, lut: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``entry``, the closest entry of the table."""
+    return _with_table(pixels, lut).withColumn("entry", _closest(F.col(value))).drop("entries", "nv")
 
 
 def lut_colors(pixels: DataFrame, lut: DataFrame, mode: str = "linear", value: str = "value") -> DataFrame:
     """Add ``rgb``: interpolated or nearest colour; a missing value takes the nodata entry."""
+    joined, v = _with_table(pixels, lut), F.col(value)
     if mode == "linear":
-        found = lut_bracket(pixels, lut, value)
-        color = color_linear(F.col(value), F.col("lo"), F.col("hi"))
-        drop = ("lo", "hi")
+        lo, hi = _bracket(v)
+        found = joined.withColumns({"_lo": lo, "_hi": hi})
+        color = color_linear(v, F.col("_lo"), F.col("_hi"))
     elif mode == "nearest":
-        found = lut_nearest(pixels, lut, value)
-        color = F.struct(*[F.col(f"entry.{n}").alias(n) for n in "rgb"])
-        drop = ("entry",)
+        found = joined.withColumn("_e", _closest(v))
+        color = F.struct(*[F.col(f"_e.{n}").alias(n) for n in "rgb"])
     else:
         raise ValueError(f"unknown colour mode {mode!r}")
-    shown = found.withColumn("rgb", F.when(F.col(value).isNotNull(), color)).drop(*drop)
-    nodata = lut.where("is_nv").groupBy("lut_id").agg(F.min(F.struct("r", "g", "b")).alias("_nv"))
-    return join_small(shown, nodata, "lut_id", "left").withColumn("rgb", F.coalesce("rgb", "_nv")).drop("_nv")
+    shown = found.withColumn("rgb", F.when(v.isNotNull(), color).otherwise(F.col("nv")))
+    return shown.drop("entries", "nv", "_lo", "_hi", "_e")
 
 
 def palette_linear(value: Column, palette: Sequence[tuple]) -> Column:

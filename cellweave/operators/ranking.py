@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cellweave.operators.sizing import join_small
 from cellweave.session import settle
 
 
@@ -45,8 +44,10 @@ def running_total(
     shift = totals.select(
         "_slice", *keys, F.coalesce(F.sum("_slice_total").over(before), F.lit(0)).alias("_shift")
     )
+    # At most two keys reach beyond any slice, so the shifts number no more than 2 n rows.
     return (
-        join_small(cut.withColumn("_inside", F.sum("_amount").over(inside)), shift, ["_slice", *keys], "left")
+        cut.withColumn("_inside", F.sum("_amount").over(inside))
+        .join(F.broadcast(shift), ["_slice", *keys], "left")
         .withColumn(out, F.col("_inside") + F.coalesce("_shift", F.lit(0)))
         .select(*df.columns, out)
     )
