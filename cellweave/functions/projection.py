@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,36 +55,64 @@ def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     return lon, lat
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once for all its uses in ``body``; keeps long series short."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_utm22s(lon: Column, lat: Column) -> tuple[Column, Column]:
     """EPSG:4326 to EPSG:32722, Kruger series."""
-    sin_lat = F.sin(F.radians(lat))
-    angle = F.radians(lon - F.lit(ZONE_22_MERIDIAN))
-    t = F.sinh(F.atanh(sin_lat) - F.lit(CONFORMAL_FACTOR) * F.atanh(F.lit(CONFORMAL_FACTOR) * sin_lat))
-    xi0 = F.atan2(t, F.cos(angle))
-    eta0 = F.atanh(F.sin(angle) / F.sqrt(1 + t * t))
-    xi, eta = xi0, eta0
-    for j, a in enumerate(ALPHA, start=1):
-        xi = xi + F.lit(a) * F.sin(2 * j * xi0) * F.cosh(2 * j * eta0)
-        eta = eta + F.lit(a) * F.cos(2 * j * xi0) * F.sinh(2 * j * eta0)
-    k = F.lit(UTM_SCALE * RECTIFYING_RADIUS)
-    return F.lit(UTM_FALSE_EASTING) + k * eta, F.lit(UTM_SOUTH_FALSE_NORTHING) + k * xi
+
+    def conformal(p: Column) -> Column:
+        t = F.sinh(F.atanh(p["s"]) - F.lit(CONFORMAL_FACTOR) * F.atanh(F.lit(CONFORMAL_FACTOR) * p["s"]))
+        return F.struct(t.alias("t"), p["a"].alias("a"))
+
+    def sphere(p: Column) -> Column:
+        xi = F.atan2(p["t"], F.cos(p["a"]))
+        eta = F.atanh(F.sin(p["a"]) / F.sqrt(1 + p["t"] * p["t"]))
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def plane(p: Column) -> Column:
+        xi, eta = p["xi"], p["eta"]
+        for j, a in enumerate(ALPHA, start=1):
+            xi = xi + F.lit(a) * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+            eta = eta + F.lit(a) * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+        k = F.lit(UTM_SCALE * RECTIFYING_RADIUS)
+        return F.struct(
+            (F.lit(UTM_FALSE_EASTING) + k * eta).alias("e"), (F.lit(UTM_SOUTH_FALSE_NORTHING) + k * xi).alias("n")
+        )
+
+    start = F.struct(F.sin(F.radians(lat)).alias("s"), F.radians(lon - F.lit(ZONE_22_MERIDIAN)).alias("a"))
+    at = _let(_let(_let(start, conformal), sphere), plane)
+    return at["e"], at["n"]
 
 
 def from_utm22s(e: Column, n: Column) -> tuple[Column, Column]:
     """EPSG:32722 to EPSG:4326."""
+
+    def sphere(p: Column) -> Column:
+        xi, eta = p["xi"], p["eta"]
+        for j, b in enumerate(BETA, start=1):
+            xi = xi - F.lit(b) * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+            eta = eta - F.lit(b) * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def conformal(p: Column) -> Column:
+        lon = F.lit(ZONE_22_MERIDIAN) + F.degrees(F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])))
+        return F.struct(lon.alias("lon"), F.asin(F.sin(p["xi"]) / F.cosh(p["eta"])).alias("chi"))
+
+    def ellipsoid(p: Column) -> Column:
+        lat = p["chi"]
+        for j, d in enumerate(DELTA, start=1):
+            lat = lat + F.lit(d) * F.sin(2 * j * p["chi"])
+        return F.struct(p["lon"].alias("lon"), F.degrees(lat).alias("lat"))
+
     k = F.lit(UTM_SCALE * RECTIFYING_RADIUS)
-    xi = (n - F.lit(UTM_SOUTH_FALSE_NORTHING)) / k
-    eta = (e - F.lit(UTM_FALSE_EASTING)) / k
-    xi0, eta0 = xi, eta
-    for j, b in enumerate(BETA, start=1):
-        xi0 = xi0 - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        eta0 = eta0 - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(xi0) / F.cosh(eta0))
-    phi = chi
-    for j, d in enumerate(DELTA, start=1):
-        phi = phi + F.lit(d) * F.sin(2 * j * chi)
-    lon = F.lit(ZONE_22_MERIDIAN) + F.degrees(F.atan2(F.sinh(eta0), F.cos(xi0)))
-    return lon, F.degrees(phi)
+    start = F.struct(
+        ((n - F.lit(UTM_SOUTH_FALSE_NORTHING)) / k).alias("xi"), ((e - F.lit(UTM_FALSE_EASTING)) / k).alias("eta")
+    )
+    at = _let(_let(_let(start, sphere), conformal), ellipsoid)
+    return at["lon"], at["lat"]
 
 
 def utm22s_to_mercator(e: Column, n: Column) -> tuple[Column, Column]:

@@ -13,12 +13,19 @@ from cellweave.operators.sizing import BROADCAST_BYTES, join_small
 
 LEVEL_BASE = 4.0
 LOWEST_LEVEL, HIGHEST_LEVEL = -20, 20
+# Each step makes bins four times finer: more points are settled by their bin alone, at
+# the price of more bins to build. Worth raising for few polygons and very many points.
+FINENESS = 1
 SALTS = 32
+# Margins around an edge within which rounding may decide, and the height below which
+# the small constant of the ray test moves its crossing noticeably.
+EDGE_SLACK = 1 + 1e-6
+FLAT_EDGE = 1e-9
 
 
 def _bin_size(level: Column) -> Column:
-    """A power of two, so dividing by it is exact."""
-    return F.pow(F.lit(LEVEL_BASE), level - 1)
+    """A power of two, so dividing by it is exact. An extent spans up to five bins."""
+    return F.pow(F.lit(LEVEL_BASE), level - FINENESS)
 
 
 def _boxed(polygons: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -33,14 +40,37 @@ def _boxed(polygons: DataFrame, keep: Sequence[str]) -> DataFrame:
     return boxed.withColumn("_level", bounded)
 
 
-def _binned(boxed: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """One row per polygon and grid bin, with only the edges the rays of that bin can meet."""
+def _span(lo: str, hi: str) -> Column:
     size = _bin_size(F.col("_level"))
+    return F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
 
-    def span(lo: str, hi: str) -> Column:
-        return F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
 
-    columns = boxed.withColumn("_by", F.explode(span("_box.min_y", "_box.max_y")))
+def _near(e: Column, x: Column, y: Column, half: Column) -> Column:
+    """Whether an edge may touch the square of half-width ``half`` around (x, y); never misses one."""
+    dx, dy = e["xj"] - e["xi"], e["yj"] - e["yi"]
+    apart = (
+        (F.greatest(e["xi"], e["xj"]) < x - half) | (F.least(e["xi"], e["xj"]) > x + half)
+        | (F.greatest(e["yi"], e["yj"]) < y - half) | (F.least(e["yi"], e["yj"]) > y + half)
+    )
+    offset = F.abs(dx * (y - e["yi"]) - dy * (x - e["xi"]))
+    flat = F.abs(dy) < FLAT_EDGE
+    one_side = offset > (F.abs(dx) + F.abs(dy)) * half * EDGE_SLACK
+    return flat & (F.greatest(e["yi"], e["yj"]) >= y - half) & (F.least(e["yi"], e["yj"]) <= y + half) | ~(apart | one_side)
+
+
+def _binned(boxed: DataFrame, keep: Sequence[str], exact: bool) -> DataFrame:
+    """One row per polygon and grid bin.
+
+    A bin no edge touches lies wholly inside, and needs no further test, or wholly
+    outside, and is left out. Other bins carry the edges the rays of their points
+    can meet. (For box membership alone, no edges are needed.)
+    """
+    size = _bin_size(F.col("_level"))
+    bands = boxed.withColumn("_by", F.explode(_span("_box.min_y", "_box.max_y")))
+    # Few polygons make many bins: spread the bands of each over the tasks.
+    bands = bands.repartition("_by", F.col("_box"))
+    if not exact:
+        return bands.select(*keep, "_box", "_level", "_by", F.explode(_span("_box.min_x", "_box.max_x")).alias("_bx"))
     low, high = F.col("_by") * size, (F.col("_by") + 1) * size
     in_band = F.transform(
         F.col("_rings"),
@@ -49,9 +79,33 @@ def _binned(boxed: DataFrame, keep: Sequence[str]) -> DataFrame:
             lambda e: (F.greatest(e["yi"], e["yj"]) >= low) & (F.least(e["yi"], e["yj"]) <= high),
         ),
     )
-    return columns.withColumn("_edges", in_band).select(
-        *keep, "_box", "_level", "_by", "_edges", F.explode(span("_box.min_x", "_box.max_x")).alias("_bx")
-    )
+    y, half = (F.col("_by") + 0.5) * size, size / 2
+
+    def center_x(bx: Column) -> Column:
+        return (bx + 0.5) * size
+
+    def classified(bx: Column) -> Column:
+        x = center_x(bx)
+        touched = F.exists(F.col("_band"), lambda edges: F.exists(edges, lambda e: _near(e, x, y, half)))
+        return F.struct(bx.alias("bx"), touched.alias("touched"))
+
+    def resolved(b: Column) -> Column:
+        x = center_x(b["bx"])
+        center = F.exists(F.col("_band"), lambda edges: G.inside_edges(x, y, edges))
+        ahead = F.transform(
+            F.col("_band"),
+            lambda edges: F.filter(
+                edges,
+                lambda e: (F.greatest(e["xi"], e["xj"]) >= x - half * EDGE_SLACK) | (F.abs(e["yj"] - e["yi"]) < FLAT_EDGE),
+            ),
+        )
+        return F.struct(
+            b["bx"].alias("_bx"), (~b["touched"] & center).alias("_whole"), F.when(b["touched"], ahead).alias("_edges")
+        )
+
+    row = F.transform(F.transform(_span("_box.min_x", "_box.max_x"), classified), resolved)
+    kept = F.filter(row, lambda b: b["_whole"] | b["_edges"].isNotNull())
+    return bands.withColumn("_band", in_band).select(*keep, "_box", "_level", "_by", F.inline(kept))
 
 
 def _measure(boxed: DataFrame) -> tuple[list[int], float]:
@@ -59,8 +113,13 @@ def _measure(boxed: DataFrame) -> tuple[list[int], float]:
     size = _bin_size(F.col("_level"))
     nx = F.floor(F.col("_box.max_x") / size) - F.floor(F.col("_box.min_x") / size) + 1
     ny = F.floor(F.col("_box.max_y") / size) - F.floor(F.col("_box.min_y") / size) + 1
-    row = F.lit(256.0) + 32.0 * F.size(G.all_vertices(F.col("_rings")))
-    levels, weight = boxed.agg(F.collect_set("_level"), F.sum(nx * ny * row)).first()
+
+    def bands(e: Column) -> Column:
+        return F.floor(F.greatest(e["yi"], e["yj"]) / size) - F.floor(F.least(e["yi"], e["yj"]) / size) + 2
+
+    edges = F.flatten(F.transform(F.col("_rings"), G.ring_edges))
+    copies = F.aggregate(edges, F.lit(0).cast("bigint"), lambda total, e: total + bands(e))
+    levels, weight = boxed.agg(F.collect_set("_level"), F.sum(nx * (ny * 256.0 + copies * 32.0))).first()
     return sorted(levels) or [0], float(weight or 0.0)
 
 
@@ -69,7 +128,7 @@ def _grid_join(
 ) -> DataFrame:
     boxed = _boxed(polygons, keep)
     levels, weight = _measure(boxed)
-    bins = _binned(boxed, keep)
+    bins = _binned(boxed, keep, exact)
     broadcast = weight <= BROADCAST_BYTES
     px, py = F.col(x), F.col(y)
     test = (
@@ -77,7 +136,7 @@ def _grid_join(
         & (py >= F.col("_box.min_y")) & (py <= F.col("_box.max_y"))
     )
     if exact:
-        test = test & F.exists(F.col("_edges"), lambda edges: G.inside_edges(px, py, edges))
+        test = test & (F.col("_whole") | F.exists(F.col("_edges"), lambda edges: G.inside_edges(px, py, edges)))
 
     salted = not broadcast
     if salted:
@@ -103,7 +162,7 @@ def _grid_join(
     if how == "inner":
         spread = F.explode(F.array(*[F.lit(v) for v in levels])) if len(levels) > 1 else F.lit(levels[0])
         found = probe(points, spread, bins, "inner")
-        return found.drop("_box", "_level", "_bx", "_by", "_edges", "_salt", *own)
+        return found.drop("_box", "_level", "_bx", "_by", "_whole", "_edges", "_salt", *own)
     if how == "anti":
         for v in levels:
             points = probe(points, F.lit(v), bins, "left_anti")

@@ -49,7 +49,3 @@ def with_views(sql: str) -> str:
 def even(expr: str, n: int) -> str:
     """SQL of rounding to n decimals, ties to even."""
     return f"(round_even(({expr}) * 1e{n}, 0)::DOUBLE / 1e{n})"
-
-
-def floordiv(a: str, b: int) -> str:
-    return f"({a} // {b})"

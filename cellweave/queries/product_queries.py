@@ -169,7 +169,26 @@ for _number, _name in enumerate(PR.PRODUCTS, start=1):
     register(_number, _name)
 
 
-@query("p05_population_value_tiles", None)
+def product_tiles_sql(name: str, zooms: range) -> str:
+    """SQL of the value tile pixels of a product, by inverse mapping on the Web Mercator plane."""
+    spec, meta = PR.PRODUCTS[name], scene_meta(name)
+    west, south, east, north = spec.aoi
+    grid = mercator_grid(meta.clipped(west, east, south, north), spec.scale)
+    half, parts = 20037508.342789244, []
+    for z in zooms:
+        size = 2 * half / 256 / 2**z
+        w, s, e, n = grid.extent
+        x0, x1, y0, y1 = (int(v / size) for v in (w + half, e + half, half - n, half - s))
+        parts.append(f"""SELECT {z} AS z, gx, gy, -{half!r}::DOUBLE + (gx + 0.5::DOUBLE) * {size!r}::DOUBLE AS mx, {half!r}::DOUBLE - (gy + 0.5::DOUBLE) * {size!r}::DOUBLE AS my
+          FROM (SELECT unnest(range({x0 - 1}, {x1 + 2})) AS gx), (SELECT unnest(range({y0 - 1}, {y1 + 2})) AS gy)""")
+    return f"""{grid_sql(name)}, cells AS (SELECT layer, "row", "col", {cast_sql(spec.dtype)} AS value FROM moved),
+    pix AS ({' UNION ALL '.join(parts)}),
+    hit AS (SELECT p.z, gx // 256 AS x, gy // 256 AS y, c.layer, coalesce(round_even(least(greatest(CASE WHEN c.value IS NOT NULL THEN c.value END, 0), {spec.cap}), 0)::BIGINT, 0) AS n, c.value
+      FROM pix p JOIN cells c ON c."col" = floor((p.mx - ({grid.ox!r}::DOUBLE)) / {grid.sx!r}::DOUBLE)::BIGINT AND c."row" = floor(({grid.oy!r}::DOUBLE - p.my) / {grid.sy!r}::DOUBLE)::BIGINT)
+    SELECT layer, z, x, y, count(*) AS n_px, max(CASE WHEN value IS NULL THEN 0 ELSE n & 255 END)::INTEGER AS max_r FROM hit GROUP BY ALL"""
+
+
+@query("p05_population_value_tiles", product_tiles_sql("population", range(8, 14)))
 def _(spark, d):
     spec, meta = PR.PRODUCTS["population"], scene_meta("population")
     made = PR.raster_product(product_obs(spark, d, "population"), meta, spec, z_max=13)

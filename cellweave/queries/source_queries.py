@@ -16,7 +16,7 @@ from cellweave.operators import nested as NE
 from cellweave.plans import transit as TR
 from cellweave.queries import tables as T
 from cellweave.queries.catalog import even, query
-from cellweave.queries.spatial_queries import settlements
+from cellweave.queries.spatial_queries import settlements, tile_sql
 from cellweave.session import scratch_path
 from cellweave.sources import rasters as RS
 from cellweave.sources import readers as RD
@@ -235,7 +235,7 @@ def _(spark, d):
     return spark.read.parquet(path).where("level = 1").select("layer", "row", "col", "value")
 
 
-@query("snk05_write_tiles", None)
+@query("snk05_write_tiles", f"SELECT layer, x, y, count(*) AS n_px, max(value) AS top FROM ({tile_sql('scenes', T.SCENE, range(11, 12), 'layer, value')}) GROUP BY ALL")
 def _(spark, d):
     path = scratch_path(spark, "tiles")
     SK.write_tiles(OG.tile(T.scenes(spark, d), T.SCENE, 8, 11), path)

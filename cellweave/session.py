@@ -60,6 +60,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once, keep on reliable storage, cut the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a table below the shared folder and read it from there.
+
+    Survives lost executors, cuts the lineage, keeps columns prunable and gives the
+    optimizer the true size.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
