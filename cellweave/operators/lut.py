@@ -16,19 +16,17 @@ MAX_ENTRIES = 65536
 def lut_entries(lut: DataFrame) -> DataFrame:
     """One row per table: its entries in value order, and the nodata entry.
 
-    Colour tables are short texts; a longer one than ``MAX_ENTRIES`` stops the job
-    rather than lose entries.
+    Colour tables are short texts; one longer than ``MAX_ENTRIES`` is refused before
+    any entries are gathered.
     """
+    longest = lut.groupBy("lut_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest > MAX_ENTRIES:
+        raise ValueError(f"colour table of {longest} entries exceeds {MAX_ENTRIES}")
     entry = F.struct("v", "r", "g", "b")
-    rows = lut.groupBy("lut_id").agg(
-        F.count(F.lit(1)).alias("_n"),
+    return lut.groupBy("lut_id").agg(
         F.array_sort(F.collect_list(F.when(~F.col("is_nv"), entry))).alias("entries"),
         F.min(F.when(F.col("is_nv"), F.struct("r", "g", "b"))).alias("nv"),
     )
-    checked = F.when(F.col("_n") <= MAX_ENTRIES, F.col("entries")).otherwise(
-        F.raise_error(F.lit("colour table too long")).cast(rows.schema["entries"].dataType)
-    )
-    return rows.select("lut_id", checked.alias("entries"), "nv")
 
 
 def _with_table(pixels: DataFrame, lut: DataFrame) -> DataFrame:

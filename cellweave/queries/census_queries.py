@@ -95,19 +95,17 @@ INCOME = f"""
   FROM (SELECT neighbourhood_number, sum(CASE WHEN class_id = '9680' THEN value END) AS household_total,
     coalesce(sum(CASE WHEN class_id IN ('9681', '9682', '9692') THEN value END), 0) AS poor,
     {', '.join(f"CASE WHEN count(*) FILTER (class_id = '{c}') > 0 THEN coalesce(sum(value) FILTER (class_id = '{c}'), 0) END AS {n}" for c, n in (('9681', 'q1'), ('9682', 'q2'), ('9683', 'q3'), ('9684', 'q4'), ('9692', 'none')))},
-    count(*) FILTER (class_id <> '9680') AS nb FROM census_long GROUP BY 1)"""
+    count(*) FILTER (class_id NOT IN ('9680', '0')) AS nb FROM census_long GROUP BY 1)"""
 
 
 @query("j01_join_indicators", f"""WITH inc AS ({INCOME}) SELECT n.nb AS neighbourhood_number, n.pop, i.poverty_rate, i.hh_inc_q3, l.lines
     FROM (SELECT (c_custkey // 10)::VARCHAR AS nb, count(*) AS pop FROM customer GROUP BY 1) n LEFT JOIN inc i ON i.neighbourhood_number = n.nb
-    LEFT JOIN (SELECT (o_custkey // 10)::VARCHAR AS nb, count(*) AS lines FROM orders WHERE o_custkey % 3 = 0 AND o_custkey // 10 % 4 <> 0 GROUP BY 1) l ON l.nb = n.nb""")
+    LEFT JOIN (SELECT CASE WHEN o_custkey // 10 % 4 <> 0 THEN (o_custkey // 10)::VARCHAR END AS nb, count(*) AS lines FROM orders GROUP BY 1) l ON l.nb = n.nb""")
 def _(spark, d):
-    def by_place(df, key):
-        return df.groupBy(F.expr(f"cast({key} div 10 as string)").alias(C.KEY))
-
-    base = by_place(T.read(spark, d, "customer"), "c_custkey").agg(F.count("*").alias("pop"))
+    base = T.read(spark, d, "customer").groupBy(F.expr("cast(c_custkey div 10 as string)").alias(C.KEY)).agg(F.count("*").alias("pop"))
     inc = C.income(C.themed(landed(spark, d), C.INCOME_CLASS)).select(C.KEY, "poverty_rate", "hh_inc_q3")
-    lines = by_place(T.read(spark, d, "orders").where("o_custkey % 3 = 0 and o_custkey div 10 % 4 <> 0"), "o_custkey").agg(F.count("*").alias("lines"))
+    known = F.expr("CASE WHEN o_custkey div 10 % 4 <> 0 THEN cast(o_custkey div 10 as string) END").alias(C.KEY)
+    lines = T.read(spark, d, "orders").groupBy(known).agg(F.count("*").alias("lines"))
     return J.join_indicators(base, [inc, lines], C.KEY)
 
 
@@ -140,7 +138,9 @@ def yes_no(spark, d, total, part, part_expr, missing):
     p = places(spark, d)
     value = F.when(F.expr(missing), None).otherwise(F.col("n").cast("double"))
     rows = p.select(F.col("loc").cast("string").alias(C.KEY), F.lit(total).alias("class_id"), value.alias("value"))
-    parts = p.where("loc % 8 <> 3").select(F.col("loc").cast("string").alias(C.KEY), F.lit(part).alias("class_id"), F.expr(part_expr).cast("double").alias("value"))
+    # Some places have only another class than the part.
+    code = F.when(F.col("loc") % 8 != 3, part).otherwise("other").alias("class_id")
+    parts = p.select(F.col("loc").cast("string").alias(C.KEY), code, F.expr(part_expr).cast("double").alias("value"))
     return rows.unionByName(parts)
 
 

@@ -27,7 +27,7 @@ def _(spark, d):
 
 def pivot_sql(agg: str) -> str:
     columns = ", ".join(f"max(CASE WHEN class_id = '{c}' THEN v END) AS {n}" for c, n in CLASSES.items())
-    return f"""WITH g AS (SELECT neighbourhood_number, class_id, {agg} AS v FROM census_long WHERE class_id <> '9680' GROUP BY ALL)
+    return f"""WITH g AS (SELECT neighbourhood_number, class_id, {agg} AS v FROM census_long WHERE class_id IN ({', '.join(repr(c) for c in CLASSES)}) GROUP BY ALL)
     SELECT neighbourhood_number, {columns} FROM g GROUP BY 1"""
 
 
@@ -195,12 +195,13 @@ def _(spark, d):
 
 @query(
     "u01_union_batches",
-    "SELECT o_orderkey, o_custkey, NULL AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderkey % 2 = 1",
+    "SELECT o_orderkey, o_custkey, NULL AS o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderstatus <> 'F'",
 )
 def _(spark, d):
     o = T.read(spark, d, "orders")
-    even_rows, odd_rows = o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey"), o.where("o_orderkey % 2 = 1").select("o_orderkey", "o_totalprice")
-    return J.union_batches(even_rows, odd_rows)
+    filled = o.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    others = o.where("o_orderstatus <> 'F'").select("o_orderkey", "o_totalprice")
+    return J.union_batches(filled, others)
 
 
 @query("u05_distinct_ids", "SELECT DISTINCT neighbourhood_number, neighbourhood_name FROM census_long")

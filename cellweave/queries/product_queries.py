@@ -202,7 +202,7 @@ ROUGH = GridMeta(17, 14, 0.0375, 0.0375, -51.45, -29.80)
 SOLAR_COLUMNS = {"GHI": "max(l_quantity)", "DNI": "floor(max(l_extendedprice))", "GTI": "min(l_quantity)", "DIF": "max(round(l_discount * 100))"}
 VIEWS["solar_cells"] = f"""
   SELECT 'L' || (l_partkey // 2000) AS layer, (l_partkey % 2000) // 50 AS "row", l_partkey % 50 AS "col",
-    {', '.join(f'({e})::DOUBLE AS {n}' for n, e in SOLAR_COLUMNS.items())} FROM lineitem WHERE l_partkey % 37 <> 5 GROUP BY l_partkey"""
+    {', '.join(f'({e})::DOUBLE AS {n}' for n, e in SOLAR_COLUMNS.items())} FROM lineitem GROUP BY l_partkey"""
 VIEWS["solar_rough"] = """
   SELECT 'L' || (l_partkey // 2000) AS layer, ((l_partkey % 2000) % 238) // 17 AS "row", (l_partkey % 2000) % 17 AS "col", max(round(l_tax * 100)) AS PVOUT FROM lineitem GROUP BY ALL"""
 _FW, _RW = FINE.window(*SO.BOX), ROUGH.window(*SO.BOX)
@@ -221,7 +221,7 @@ def solar_inputs(spark, d):
     li = T.read(spark, d, "lineitem")
     scene = F.concat(F.lit("L"), F.expr("l_partkey div 2000"))
     place = [scene.alias("layer"), F.expr("(l_partkey % 2000) div 50").alias("row"), (F.col("l_partkey") % 50).alias("col")]
-    cells = li.where("l_partkey % 37 <> 5").groupBy(*place).agg(*[F.expr(f"cast({e} as double)").alias(n) for n, e in SOLAR_COLUMNS.items()])
+    cells = li.groupBy(*place).agg(*[F.expr(f"cast({e} as double)").alias(n) for n, e in SOLAR_COLUMNS.items()])
     cells = cells.withColumn("DNI", F.when((F.col("row") + F.col("col")) % 9 != 0, F.col("DNI")))
     rough_place = [scene.alias("layer"), F.expr("((l_partkey % 2000) % 238) div 17").alias("row"), ((F.col("l_partkey") % 2000) % 17).alias("col")]
     rough = li.groupBy(*rough_place).agg(F.max(F.round(F.col("l_tax") * 100)).alias("value"))

@@ -168,12 +168,12 @@ def _(spark, d):
 @query(
     "r12_legend_mismatches",
     """WITH legend AS (SELECT dataset_id, c AS class, printf('#%02X%02X%02X', c * 20, c * 7, 255) AS legend_color FROM (SELECT dataset_id, unnest(range(0, size % 5 + 1)) AS c FROM ds WHERE k % 3 = 0)),
-    t AS (SELECT dataset_id, c AS class, printf('#%02X%02X%02X', c * 20, c * 7, CASE WHEN k % 12 = 0 THEN 254 ELSE 255 END) AS lut_color FROM (SELECT dataset_id, k, unnest(range(0, 4)) AS c FROM ds WHERE k % 6 = 0))
+    t AS (SELECT dataset_id, c AS class, printf('#%02X%02X%02X', c * 20, c * 7, CASE WHEN k % 12 = 0 THEN 254 ELSE 255 END) AS lut_color FROM (SELECT dataset_id, k, unnest(range(0, 4)) AS c FROM ds))
     SELECT dataset_id, class, legend_color, lut_color FROM legend FULL JOIN t USING (dataset_id, class) WHERE legend_color IS DISTINCT FROM lut_color""",
 )
 def _(spark, d):
     datasets = T.datasets(spark, d)
-    table = datasets.where("k % 6 = 0").select("dataset_id", "k", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("c")).select(
+    table = datasets.select("dataset_id", "k", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("c")).select(
         F.col("dataset_id").alias("lut_id"), F.col("c").cast("double").alias("v"), (F.col("c") * 20).alias("r"), (F.col("c") * 7).alias("g"),
         F.when(F.col("k") % 12 == 0, 254).otherwise(255).alias("b"), F.lit(False).alias("is_nv"),
     )
@@ -187,13 +187,16 @@ def _(spark, d):
 
 @query(
     "w06_registry_diff",
-    """SELECT dataset_id, CASE WHEN k % 10 = 0 THEN 'removed' WHEN k % 15 = 1 THEN 'added' ELSE 'changed' END AS change FROM ds WHERE k % 10 = 0 OR k % 15 = 1 OR k % 21 = 2""",
+    """SELECT dataset_id, CASE WHEN k % 15 = 1 THEN 'added' ELSE 'changed' END AS change FROM ds WHERE k % 15 = 1 OR k % 21 = 2
+    UNION ALL SELECT 'legacy' || dataset_id, 'removed' FROM ds WHERE k % 15 = 1""",
 )
 def _(spark, d):
     table = T.datasets(spark, d).select("dataset_id", "dataset_name", "license", "resolution", "k")
-    old = table.where("k % 10 = 0 or k % 15 <> 1").drop("k")
+    # An entry renamed between the releases counts as removed and added.
+    old_id = F.when(F.col("k") % 15 == 1, F.concat(F.lit("legacy"), "dataset_id")).otherwise(F.col("dataset_id"))
+    old = table.withColumn("dataset_id", old_id).drop("k")
     changed = F.when(F.col("k") % 21 == 2, F.concat("resolution", F.lit("!"))).otherwise(F.col("resolution"))
-    new = table.where("k % 10 <> 0").withColumn("resolution", changed).drop("k")
+    new = table.withColumn("resolution", changed).drop("k")
     return R.registry_diff(old, new, "dataset_id")
 
 

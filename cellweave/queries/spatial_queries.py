@@ -115,15 +115,15 @@ def _(spark, d):
     return S.clip_geometry(T.field_points(spark, d), (20.5, -80, 60, -10.5)).select("row", "col", "value")
 
 
-@query("pf12_clip_polygon", """SELECT DISTINCT "row", "col", value FROM inside WHERE ord % 4 = 0""")
+@query("pf12_clip_polygon", """SELECT DISTINCT "row", "col", value FROM inside""")
 def _(spark, d):
-    return S.clip_geometry(T.field_points(spark, d), T.polygons(spark, d).where("ord % 4 = 0")).select("row", "col", "value")
+    return S.clip_geometry(T.field_points(spark, d), T.polygons(spark, d)).select("row", "col", "value")
 
 
-@query("j03_attach", f"SELECT c.id, c.ord, n, total FROM centers c LEFT JOIN (SELECT 'P' || l_suppkey AS id, count(*) AS n, {even('sum(l_quantity)', 2)} AS total FROM lineitem WHERE l_suppkey % 7 <> 0 GROUP BY 1) USING (id)")
+@query("j03_attach", f"SELECT c.id, c.ord, n, total FROM centers c LEFT JOIN (SELECT CASE WHEN l_suppkey % 7 <> 0 THEN 'P' || l_suppkey END AS id, count(*) AS n, {even('sum(l_quantity)', 2)} AS total FROM lineitem GROUP BY 1) USING (id)")
 def _(spark, d):
-    li = T.read(spark, d, "lineitem").where("l_suppkey % 7 <> 0")
-    stats = li.groupBy(F.concat(F.lit("P"), "l_suppkey").alias("id")).agg(F.count("*").alias("n"), N.round_even(F.sum("l_quantity"), 2).alias("total"))
+    key = F.when(F.col("l_suppkey") % 7 != 0, F.concat(F.lit("P"), "l_suppkey")).alias("id")
+    stats = T.read(spark, d, "lineitem").groupBy(key).agg(F.count("*").alias("n"), N.round_even(F.sum("l_quantity"), 2).alias("total"))
     return J.attach(T.polygons(spark, d), stats, "id").select("id", "ord", "n", "total")
 
 
@@ -209,12 +209,12 @@ def _(spark, d):
 
 
 VIEWS["twin"] = """
-  SELECT layer, "row", "col", CASE WHEN ("row" + "col") % 13 <> 0 THEN "row" * 3.0::DOUBLE + "col" END AS value FROM scenes WHERE ("row" * 64 + "col") % 29 <> 0"""
+  SELECT layer, "row", "col", CASE WHEN ("row" + "col") % 13 <> 0 AND ("row" * 64 + "col") % 29 <> 0 THEN "row" * 3.0::DOUBLE + "col" END AS value FROM scenes"""
 
 
 def twin(spark, d):
-    s = T.scenes(spark, d).where("(row * 64 + col) % 29 <> 0")
-    return s.withColumn("value", F.when((F.col("row") + F.col("col")) % 13 != 0, F.col("row") * F.lit(3.0) + F.col("col")))
+    present = ((F.col("row") + F.col("col")) % 13 != 0) & ((F.col("row") * 64 + F.col("col")) % 29 != 0)
+    return T.scenes(spark, d).withColumn("value", F.when(present, F.col("row") * F.lit(3.0) + F.col("col")))
 
 
 LONG = """long AS (SELECT layer AS scene, 'a' AS layer, "row", "col", value FROM scenes UNION ALL SELECT layer, 'b', "row", "col", value FROM twin)"""
@@ -323,9 +323,9 @@ def tile_sql(view: str, meta: GridMeta, zooms: range, columns: str) -> str:
      AND s."row" = floor(({meta.oy!r}::DOUBLE - t.lat) / {meta.sy!r}::DOUBLE)::BIGINT"""
 
 
-@query("g05_tile", tile_sql("scenes", T.SCENE, range(8, 13), "layer, value"))
+@query("g05_tile", tile_sql("scenes", T.SCENE, range(8, 12), "layer, value"))
 def _(spark, d):
-    return OG.tile(T.scenes(spark, d), T.SCENE, 8, 12)
+    return OG.tile(T.scenes(spark, d), T.SCENE, 8, 11)
 
 
 VIEWS["packed_cells"] = """SELECT layer, "row", "col", (n & 255)::INTEGER AS r, ((n >> 8) & 255)::INTEGER AS g, ((n >> 16) & 255)::INTEGER AS b

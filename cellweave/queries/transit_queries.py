@@ -72,13 +72,13 @@ def _(spark, d):
 
 @query(
     "nj07_merge_props",
-    f"""SELECT c.id, CASE WHEN s.n IS NULL THEN c.name ELSE 'N' || s.n END AS name, s.n::VARCHAR AS n_pixels FROM centers c LEFT JOIN (SELECT id, count(*) AS n FROM inside WHERE ord % 3 = 0 GROUP BY id) s USING (id)""",
+    f"""SELECT c.id, CASE WHEN s.n IS NULL THEN c.name ELSE 'N' || s.n END AS name, s.n::VARCHAR AS n_pixels FROM centers c LEFT JOIN (SELECT id, count(*) AS n FROM inside GROUP BY id) s USING (id)""",
 )
 def _(spark, d):
     from cellweave.operators.spatial import pip_join
 
     polys = T.polygons(spark, d)
-    stats = pip_join(T.field_points(spark, d), polys.where("ord % 3 = 0"), keep=("id",)).groupBy("id").agg(F.count("*").alias("n_pixels"))
+    stats = pip_join(T.field_points(spark, d), polys, keep=("id",)).groupBy("id").agg(F.count("*").alias("n_pixels"))
     merged = NE.merge_props(polys, stats.withColumn("name", F.concat(F.lit("N"), "n_pixels")), "id")
     return merged.select("id", F.try_element_at("props", F.lit("name")).alias("name"), F.try_element_at("props", F.lit("n_pixels")).alias("n_pixels"))
 
