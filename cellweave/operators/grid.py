@@ -23,7 +23,6 @@ from cellweave.functions.projection import (
     is_separable,
     transform,
 )
-from cellweave.operators.joins import stack_layers
 from cellweave.operators.sizing import join_small
 
 META_FIELDS = ("width", "height", "sx", "sy", "ox", "oy")
@@ -294,9 +293,3 @@ def block_density(pixels: DataFrame, block: int, cell_area: float, keys: Sequenc
     blocks = pixels.select(*keys, F.floor(F.col("row") / size).alias("row"), F.floor(F.col("col") / size).alias("col"), "value")
     area = float(block * block * cell_area)
     return blocks.groupBy(*keys, "row", "col").agg(round_even(F.sum("value") / F.lit(area), 4).alias("density"))
-
-
-__all__ = [
-    "align", "block_density", "clean_cells", "clip_bbox", "clip_layers", "export_window", "fill_cells",
-    "overviews", "reproject", "resample_nearest", "stack_layers", "target_grid", "tile", "with_centers",
-]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.functions.color import color_linear, decode_rgb
+from cellweave.functions.color import color_linear, decode_rgb, rgb_to_hex
 from cellweave.operators.sizing import join_small
 
 MAX_ENTRIES = 65536
@@ -118,8 +118,6 @@ def lut_audit(lut: DataFrame, encodings: DataFrame, tolerance: float = 0.5) -> D
 
 def legend_mismatches(legend: DataFrame, lut: DataFrame) -> DataFrame:
     """Classes whose registry colour and table colour differ, or that only one side has."""
-    from cellweave.functions.color import rgb_to_hex
-
     table = lut.where(~F.col("is_nv")).select(
         F.col("lut_id").alias("dataset_id"), F.col("v").cast("int").alias("class"), rgb_to_hex(F.col("r"), F.col("g"), F.col("b")).alias("lut_color")
     )

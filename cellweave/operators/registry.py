@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.operators.joins import dangling_refs
 from cellweave.operators.nested import explode_assets
 from cellweave.operators.sizing import join_small
-from cellweave.session import settle
+from cellweave.session import cut_lineage
 
 # Required fields and permitted values of the registries.
 DATASET_FIELDS = (
@@ -96,8 +96,8 @@ def closure(edges: DataFrame, start: DataFrame, from_col: str, to_col: str) -> D
     Each round extends only the pairs found last, drops those known before and is
     written to the shared folder; cycles end because no new pair appears.
     """
-    steps = settle(edges.select(F.col(from_col).alias("_from"), F.col(to_col).alias("_to")).distinct())
-    frontier = settle(
+    steps = cut_lineage(edges.select(F.col(from_col).alias("_from"), F.col(to_col).alias("_to")).distinct())
+    frontier = cut_lineage(
         start.select("node").distinct().join(steps, F.col("node") == F.col("_from")).select("node", F.col("_to").alias("reached")).distinct()
     )
     known = frontier
@@ -108,20 +108,35 @@ def closure(edges: DataFrame, start: DataFrame, from_col: str, to_col: str) -> D
             .distinct()
             .join(known, ["node", "reached"], "left_anti")
         )
-        frontier = settle(reached)
+        frontier = cut_lineage(reached)
         known = known.unionByName(frontier)
     return known
 
 
+def full_closure(edges: DataFrame, from_col: str, to_col: str) -> DataFrame:
+    """(node, reached) pairs from every node.
+
+    Known pairs are composed with themselves, so the distance covered doubles each
+    round and the rounds grow with the logarithm of the longest path.
+    """
+    known = cut_lineage(edges.select(F.col(from_col).alias("node"), F.col(to_col).alias("reached")).distinct())
+    while True:
+        onward = known.select(F.col("node").alias("reached"), F.col("reached").alias("_far"))
+        longer = known.join(onward, "reached").select("node", F.col("_far").alias("reached")).distinct()
+        new = cut_lineage(longer.join(known, ["node", "reached"], "left_anti"))
+        if new.isEmpty():
+            return known
+        known = known.unionByName(new)
+
+
 def lineage(layers: DataFrame, start: DataFrame | None = None, direction: str = "up") -> DataFrame:
     """``up``: (layer_id, ancestor) down to raw datasets; ``down``: (source, affected) layers."""
-    edges = layer_edges(layers)
-    if direction == "up":
-        nodes = start if start is not None else layers.select(F.col("layer_id").alias("node"))
-        return closure(edges, nodes, "layer_id", "upstream").toDF("layer_id", "ancestor")
-    if direction == "down":
-        nodes = start if start is not None else edges.select(F.col("upstream").alias("node"))
-        return closure(edges, nodes, "upstream", "layer_id").toDF("source", "affected")
+    ends = {"up": ("layer_id", "upstream"), "down": ("upstream", "layer_id")}
+    names = {"up": ("layer_id", "ancestor"), "down": ("source", "affected")}
+    if direction in ends:
+        edges = layer_edges(layers)
+        pairs = full_closure(edges, *ends[direction]) if start is None else closure(edges, start, *ends[direction])
+        return pairs.toDF(*names[direction])
     raise ValueError(f"unknown direction {direction!r}")
 
 
@@ -136,16 +151,16 @@ def build_order(layers: DataFrame) -> DataFrame:
 
     Layers on or behind a cycle never become ready and come out with depth NULL.
     """
-    ids = settle(layers.select("layer_id").distinct())
-    edges = settle(join_small(layer_edges(layers), ids.select(F.col("layer_id").alias("upstream")), "upstream"))
+    ids = cut_lineage(layers.select("layer_id").distinct())
+    edges = cut_lineage(join_small(layer_edges(layers), ids.select(F.col("layer_id").alias("upstream")), "upstream"))
     waiting, ready, depth = ids, [], 0
     while True:
         blocked = edges.join(waiting.select(F.col("layer_id").alias("upstream")), "upstream", "left_semi")
-        free = settle(waiting.join(blocked.select("layer_id").distinct(), "layer_id", "left_anti"))
+        free = cut_lineage(waiting.join(blocked.select("layer_id").distinct(), "layer_id", "left_anti"))
         if free.isEmpty():
             break
         ready.append(free.withColumn("depth", F.lit(depth)))
-        waiting = settle(waiting.join(free, "layer_id", "left_anti"))
+        waiting = cut_lineage(waiting.join(free, "layer_id", "left_anti"))
         depth += 1
     result = waiting.withColumn("depth", F.lit(None).cast("int"))
     for part in ready:

@@ -59,6 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, for the narrow, short-lived states of a loop."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once into a table below the shared folder and read it from there.
 
