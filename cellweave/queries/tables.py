@@ -283,7 +283,7 @@ def census_responses(spark: SparkSession, d: str, class_id: str = "386") -> Data
     other = F.struct(F.lit("1").alias("id"), F.lit("situation").alias("nome"), F.create_map(F.lit("0"), F.lit("Total")).alias("categoria"))
     own = F.struct(F.lit(class_id).alias("id"), F.lit("income").alias("nome"), category.alias("categoria"))
     place = F.struct(F.col("neighbourhood_number").alias("id"), F.col("neighbourhood_name").alias("nome"))
-    # Only even localities carry the newer period; the older one is a decoy everywhere.
+    # The older period is a decoy: the newest one must be picked.
     values = F.map_filter(F.create_map(F.lit("2000"), F.lit("1"), F.lit("2010"), F.col("text")), lambda k, v: v.isNotNull())
     one = F.struct(F.array(other, own).alias("classificacoes"), F.array(F.struct(place.alias("localidade"), values.alias("serie"))).alias("series"))
     return (
