@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import simhash
+from cellweave.llm import bpe, line_rules, packing, ppm, recompression, simhash, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +28,45 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents by SimHash of 4-word shingles, radius 4."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_of("fingerprint").alias("fingerprint"), "component_id")
+
+
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BPE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded by byte-level BPE, as digests."""
+    return bpe.digests(table(spark, folder, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+
+
+@register
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens, one row per piece."""
+    return packing.pack(table(spark, folder, "documents"), BPE_TOKENIZER, BPE_RANKS, public_tokenizers.PATTERN)
+
+
+@register
+def op6_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings linked at cosine 0.95 or more, with components."""
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@register
+def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality figures of all documents and the verdict of the line frequency rule."""
+    return line_rules.assess(table(spark, folder, "documents"))
+
+
+@register
+def op9_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of repeated windows of 35 words, as digests."""
+    done = recompression.remove_repeats(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register
+def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    """Code lengths of all documents by matching contexts and by a word baseline."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return ppm.score(table(spark, folder, "documents"), held_out)

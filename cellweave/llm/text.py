@@ -97,3 +97,92 @@ def union(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
             if np.array_equal(up, parent):
                 break
             parent[:] = up
+
+
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+LONG_WORD = 512
+_VALUES = np.random.default_rng(20240229).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+PIECE = 1 << 18
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection that scatters 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd base and of its inverse, modulo 2^64."""
+    out = []
+    for b in (base, pow(base, -1, 2**64)):
+        x = np.full(n, np.uint64(b))
+        x[:1] = 1
+        out.append(np.cumprod(x))
+    return out[0], out[1]
+
+
+class Tokens:
+    """Words of texts as spans of one byte buffer: ``starts``, ``ends`` and ``offsets`` per text."""
+
+    def __init__(self, texts: pa.Array, lower: bool = False):
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = texts.buffers()[2]
+        data = np.frombuffer(raw, np.uint8)[at[0] : at[-1]] if raw is not None and len(at) else np.zeros(0, np.uint8)
+        self.data = LOWER[data] if lower else data
+        self.texts = at - at[0]
+        self.solid = ~BLANK[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[self.texts] = True
+        before = np.concatenate([[False], self.solid])
+        after = np.concatenate([self.solid, [False]])
+        self.starts = np.flatnonzero(after & (~before | edge))
+        self.ends = np.flatnonzero(before & (~after | edge))
+        self.offsets = np.searchsorted(self.starts, self.texts)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word; ``which`` 0 and 1 are independent of each other.
+
+        A sum of random values of its bytes times powers of an odd base, mixed with the
+        length. Words over LONG_WORD bytes, where such sums get weak, are hashed by XXH3.
+        """
+        out = np.empty(len(self.starts), np.uint64)
+        values = _VALUES[which]
+        up, down = powers(_BASES[which], PIECE + LONG_WORD)
+        low = 0
+        while low < len(out):
+            begin = self.starts[low]
+            high = max(int(np.searchsorted(self.starts, begin + PIECE)), low + 1)
+            a, b = self.starts[low:high] - begin, self.ends[low:high] - begin
+            stop = min(int(b[-1]), PIECE + LONG_WORD)
+            part = np.zeros(stop + 1, np.uint64)
+            np.cumsum(values[self.data[begin : begin + stop]] * up[:stop], out=part[1:])
+            out[low:high] = mix((part[np.minimum(b, stop)] - part[a]) * down[a] + (b - a).astype(np.uint64))
+            low = high
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD):
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]].tobytes(), seed=which)
+        return out
+
+    def joined(self, kept: np.ndarray) -> pa.Array:
+        """Each text's kept words, joined by one space."""
+        keep = np.zeros(len(self.data), bool)
+        change = np.zeros(len(self.data) + 1, np.int8)
+        change[self.starts[kept]] += 1
+        change[self.ends[kept]] -= 1
+        keep = np.cumsum(change[:-1], dtype=np.int8) > 0
+        at = np.flatnonzero(kept)
+        text = np.repeat(np.arange(len(self.texts) - 1), np.diff(self.offsets))[at]
+        gaps = self.ends[at[:-1][text[1:] == text[:-1]]] if len(at) > 1 else np.zeros(0, np.int64)
+        out = self.data.copy()
+        out[gaps] = 32
+        keep[gaps] = True
+        upto = np.concatenate([[0], np.cumsum(keep)])[self.texts]
+        return pa.Array.from_buffers(pa.large_string(), len(self.texts) - 1, [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(out[keep])])
