@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, line_rules, packing, ppm, recompression, simhash, vectors
+from cellweave.llm import bpe, kneser_ney, line_chunks, line_rules, packing, ppm, recompression, simhash, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,52 @@ def op10_ppm(spark: SparkSession, folder: str) -> DataFrame:
     """Code lengths of all documents by matching contexts and by a word baseline."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return ppm.score(table(spark, folder, "documents"), held_out)
+
+
+@register
+def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of all documents, the threshold of their language and the verdict."""
+    return kneser_ney.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels that aren't held out."""
+    docs = table(spark, folder, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    labels = table(spark, folder, "labels").where(remainder != 1)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id"])
+    return scored.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register
+def op7_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without repeated chunks of lines: what is left of each, as length and digest."""
+    left = line_chunks.remove_repeated(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5"))
+
+
+ORACLES["op7_line_chunks"] = """
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i,
+         len(string_split(text, chr(10))) AS n
+  FROM documents WHERE text IS NOT NULL),
+rolled AS (
+  SELECT *, CASE WHEN i = n OR substr(md5(coalesce(md5(lag(line) OVER w), '') || md5(line)), 1, 2) < '40' THEN 1 ELSE 0 END AS cut
+  FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+placed AS (
+  SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
+  FROM rolled),
+chunk AS (
+  SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS part,
+         count(*) FILTER (WHERE trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '') > 1 AS multi
+  FROM placed GROUP BY doc_id, k),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY multi, part ORDER BY doc_id, k) AS occurrence FROM chunk),
+kept AS (
+  SELECT doc_id, string_agg(part, chr(10) ORDER BY k) AS text FROM ranked WHERE NOT multi OR occurrence = 1 GROUP BY doc_id)
+SELECT d.doc_id,
+       CASE WHEN d.text IS NULL THEN NULL ELSE strlen(coalesce(kept.text, '')) END::BIGINT AS kept_bytes,
+       CASE WHEN d.text IS NULL THEN NULL ELSE md5(coalesce(kept.text, '')) END AS kept_md5
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""

@@ -185,14 +185,16 @@ def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "chunk long, h long")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 35, chunk_bytes: int = CHUNK_BYTES, rounds: int = ROUNDS) -> DataFrame:
-    """id, n_words, n_removed and kept_text of every row: words outside of all repeated windows.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, width: int = 35, layout: bool = False, chunk_bytes: int = CHUNK_BYTES, rounds: int = ROUNDS) -> DataFrame:
+    """``keep`` columns (the id), n_words, n_removed and kept_text of every row: words outside of all repeated windows.
+
+    The kept words are joined by one space; with ``layout`` the text keeps its blanks.
 
     A window of ``width`` consecutive words is repeated if its words also start anywhere
     else, in the same text or another. Names are hashes of what they stand for, so all
     tasks name a run, pair or word alike. Symbols of the last round are exchanged once by
     name; a window that holds the span of a symbol that occurs only once can't be
-    repeated. The others are exchanged by 128-bit sums of their words, which verifies
+    repeated. The others are exchanged by 96-bit sums of their words, which verifies
     them. A name or window counts once per chunk of texts, so a hot one is as many rows
     as chunks. Null and empty texts have no words; fewer than ``width`` words: nothing is
     removed; repeated rows are texts like any other; an empty table gives none.
@@ -200,7 +202,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
     chunks = max(1, -(-size // chunk_bytes))
     body = F.col(f"`{text}`").cast("string")
-    rows = docs.select(F.pmod(F.xxhash64(F.col(f"`{id_col}`"), body), F.lit(chunks)).alias("chunk"), F.col(f"`{id_col}`").alias("_id"), body.alias("_text"))
+    kept = [id_col] if keep is None else keep
+    names = [f"c{k}" for k in range(len(kept))]
+    rows = docs.select(F.pmod(F.xxhash64(F.col(f"`{id_col}`"), body), F.lit(chunks)).alias("chunk"), body.alias("_text"), *[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept, strict=True)])
 
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text"):
@@ -211,7 +215,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             names, many = _counted(found.names, chunk)
             yield pa.RecordBatch.from_arrays([pa.array(names[1]), pa.array(names[0].view(np.int64)), pa.array(many)], ["chunk", "h", "many"])
 
-    named = _shared(rows.mapInArrow(symbols, "chunk long, h long, many boolean"), ["h"])
+    named = _shared(rows.select("chunk", "_text").mapInArrow(symbols, "chunk long, h long, many boolean"), ["h"])
 
     def windows(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         shared = np.unique(right.column("h").to_numpy().view(U))
@@ -225,15 +229,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             at = _candidates(parse(a, tokens.offsets, rounds), shared, inside, width)
             x, y = _windows(a, b, width)
             first.append(x[at])
-            second.append(y[at])
+            second.append((y[at] >> U(32)).astype(np.uint32))
         if not first:
-            return pa.table({"chunk": pa.array([], pa.int64()), "h": pa.array([], pa.int64()), "g": pa.array([], pa.int64()), "many": pa.array([], pa.bool_())})
+            return pa.table({"chunk": pa.array([], pa.int64()), "h": pa.array([], pa.int64()), "g": pa.array([], pa.int32()), "many": pa.array([], pa.bool_())})
         (x, y), many = _counted(np.concatenate(first), np.concatenate(second))
-        return pa.table({"chunk": np.full(len(x), int(key[0].as_py())), "h": x.view(np.int64), "g": y.view(np.int64), "many": many})
+        return pa.table({"chunk": np.full(len(x), int(key[0].as_py())), "h": x.view(np.int64), "g": y.view(np.int32), "many": many})
 
-    marked = rows.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(windows, "chunk long, h long, g long, many boolean")
+    marked = rows.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(windows, "chunk long, h long, g int, many boolean")
     repeated = _shared(marked, ["h", "g"])
-    schema = rows.select("_id").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept_text": F.lit("")}).schema
+    schema = rows.select(*names).withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept_text": F.lit("")}).schema
 
     def strip(left: pa.Table, right: pa.Table) -> pa.Table:
         found, out = np.unique(right.column("h").to_numpy().view(U)), []
@@ -248,9 +252,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 np.add.at(change, starts + width, -1)
                 covered = np.cumsum(change[:-1]) > 0
             gone = np.diff(np.concatenate([[0], np.cumsum(covered)])[tokens.offsets])
-            n, joined = np.diff(tokens.offsets), tokens.joined(~covered).cast(pa.string())
-            out.append(pa.RecordBatch.from_arrays([part.column("_id"), pa.array(n), pa.array(gone), joined], schema.names))
-        return pa.Table.from_batches(out) if out else pa.table({"_id": left.column("_id").slice(0, 0), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept_text": pa.array([], pa.string())})
+            n, joined = np.diff(tokens.offsets), (tokens.cut if layout else tokens.joined)(~covered).cast(pa.string())
+            out.append(pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(n), pa.array(gone), joined], schema.names))
+        return pa.Table.from_batches(out)
 
     done = rows.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(strip, schema)
-    return done.withColumnRenamed("_id", id_col)
+    return done.toDF(*kept, "n_words", "n_removed", "kept_text")

@@ -186,3 +186,14 @@ class Tokens:
         keep[gaps] = True
         upto = np.concatenate([[0], np.cumsum(keep)])[self.texts]
         return pa.Array.from_buffers(pa.large_string(), len(self.texts) - 1, [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(out[keep])])
+
+    def cut(self, kept: np.ndarray) -> pa.Array:
+        """Each text without the words not kept and the blanks behind them; all else as it was."""
+        gone = np.flatnonzero(~kept)
+        until = np.minimum(np.append(self.starts, len(self.data))[gone + 1], self.texts[1:][np.repeat(np.arange(len(self.texts) - 1), np.diff(self.offsets))[gone]])
+        change = np.zeros(len(self.data) + 1, np.int8)
+        np.add.at(change, self.starts[gone], 1)
+        np.add.at(change, until, -1)
+        keep = np.cumsum(change[:-1], dtype=np.int8) == 0
+        upto = np.concatenate([[0], np.cumsum(keep)])[self.texts]
+        return pa.Array.from_buffers(pa.large_string(), len(self.texts) - 1, [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(self.data[keep])])
