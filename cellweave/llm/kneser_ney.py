@@ -155,8 +155,8 @@ def thresholds(scored: DataFrame, quantile: float, slack: float) -> tuple[DataFr
 
 
 def _passes(limit: Column, evidence: float) -> Column:
-    """Whether a text's cost beyond the limit is within the evidence; without a limit it is."""
-    return F.coalesce(F.col("perplexity_symbols") * F.log(F.col("perplexity") / limit) <= evidence, F.lit(True))
+    """Whether a text's cost beyond the limit is within the evidence; without a text or a limit it is."""
+    return (F.col("perplexity_symbols") == 1) | F.coalesce(F.col("perplexity_symbols") * F.log(F.col("perplexity") / limit) <= evidence, F.lit(True))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text: str, quality: str, order: int, max_docs: int, max_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -169,9 +169,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
     A language's threshold is ``slack`` times the ``quantile`` of the perplexities of all
     trusted texts of the half from which the model did not learn. A row is rejected if its text costs more than the threshold allows by
-    over ``evidence`` nats, so a few odd bytes don't reject a short text. A language without any, or null, takes the quantile of all
+    over ``evidence`` nats, so a few odd bytes don't reject a short text, nor is an empty one. A language without any, or null, takes the quantile of all
     languages, and without trusted texts every row is kept. The model learns from at most
-    ``max_docs`` trusted texts and ``max_bytes``. A null text is an empty one; rows of a
+    ``max_docs`` trusted texts and ``max_bytes``. A null text is an empty one and kept; rows of a
     null id return, they are trusted by no label; repeated rows each have a row; an empty
     table gives none.
     """

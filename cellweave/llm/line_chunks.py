@@ -51,20 +51,22 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     becomes empty, chunks of one line or of blank lines stay. Rows with equal id and text
     are one document and stay alike. An empty table gives none.
     """
-    name = F.col(f"`{id_col}`")
-    body = F.col(f"`{text}`").cast("string")
-    rows = docs.where(body.isNotNull()).select(name.alias("_id"), F.xxhash64(body).alias("_print"), body.alias("_body"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    plain, place = docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+    name, whole = F.col(place[id_col]), F.col(place[text])
+    body = whole.cast("string")
+    rows = plain.where(body.isNotNull()).select(name.alias("_id"), F.xxhash64(body).alias("_print"), body.alias("_body"))
     chunked = _chunks(rows, F.col("_body"), spread).select("_id", "_print", F.posexplode("_chunks").alias("_place", "_c"))
     chunked = chunked.where("_c.multi").select("_id", "_print", "_place", F.xxhash64("_c.body").alias("_hash"), F.col("_c.body").alias("_part"))
     again = chunked.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
     same = settle(chunked.join(again, "_hash", "left_semi"))
-    place = F.struct("_id", "_print", "_place")
-    firsts = same.groupBy("_hash", "_part").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    gone = same.join(firsts, ["_hash", "_part"]).where(~place.eqNullSafe(F.col("_first")))
+    where = F.struct("_id", "_print", "_place")
+    firsts = same.groupBy("_hash", "_part").agg(F.min(where).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    gone = same.join(firsts, ["_hash", "_part"]).where(~where.eqNullSafe(F.col("_first")))
     gone = gone.groupBy("_id", "_print").agg(F.collect_set("_place").alias("_gone"))
-    keyed = docs.withColumns({"_id": name, "_print": F.xxhash64(body)})
+    keyed = plain.withColumns({"_id": name, "_print": F.xxhash64(body)})
     joined = keyed.alias("l").join(gone.alias("r"), F.expr("l._print = r._print AND l._id <=> r._id"), "left").select("l.*", "r._gone")
-    marked = _chunks(joined, F.when(F.col("_gone").isNotNull(), F.col(f"`{text}`").cast("string")), spread)
+    marked = _chunks(joined, F.when(F.col("_gone").isNotNull(), body), spread)
     left = F.transform(F.filter("_chunks", lambda c, k: ~F.array_contains("_gone", k)), lambda c: c["body"])
-    out = F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n"))
-    return marked.select(*[out.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    out = F.when(F.col("_gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
+    return marked.select(*[out.alias(c) if c == place[text] else F.col(c) for c in names]).toDF(*docs.columns)
