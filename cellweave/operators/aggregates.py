@@ -180,43 +180,32 @@ def polygon_boxes(polygons: DataFrame) -> DataFrame:
     return rings.where(F.size(all_vertices(F.col("_r"))) > 0).select("id", bbox(F.col("_r")).alias("b")).select("id", "b.*")
 
 
-def to_linestrings(
-    shapes: DataFrame,
-    key: str = "shape_id",
-    seq: str = "seq",
-    lon: str = "lon",
-    lat: str = "lat",
-    max_vertices: int = 250_000,
+def _lines(points: DataFrame, by: Sequence[str], seq: str, lon: str, lat: str) -> DataFrame:
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(seq), F.col(lon), F.col(lat))))
+    return points.groupBy(*by).agg(
+        F.transform(ordered, lambda v: F.array(v[lon].cast("double"), v[lat].cast("double"))).alias("coordinates")
+    )
+
+
+def to_linestrings(shapes: DataFrame, key: str = "shape_id", seq: str = "seq", lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(key, coordinates): the vertices of each shape in sequence, one line whatever its size."""
+    return _lines(shapes.where(F.col(key).isNotNull()), [key], seq, lon, lat)
+
+
+def linestring_parts(
+    shapes: DataFrame, max_vertices: int, key: str = "shape_id", seq: str = "seq", lon: str = "lon", lat: str = "lat"
 ) -> DataFrame:
-    """(key, part, coordinates): vertices of each shape in sequence.
+    """(key, part, coordinates): each shape as numbered consecutive parts of at most ``max_vertices``.
 
-    A shape of more than ``max_vertices`` is delivered whole, as numbered
-    consecutive parts, so that no row or task has to hold all of it.
+    No row or task has to hold a whole shape.
     """
     points = shapes.where(F.col(key).isNotNull()).select(key, seq, lon, lat)
-
-    def collect(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct(F.col(seq), F.col(lon), F.col(lat))))
-        return rows.groupBy(*by).agg(
-            F.transform(ordered, lambda v: F.array(v[lon].cast("double"), v[lat].cast("double"))).alias("coordinates")
-        )
-
-    sizes = points.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    longest = sizes.agg(F.max("_n")).first()[0] or 0
-    if longest <= max_vertices:
-        return collect(points, [key]).select(key, F.lit(0).cast("bigint").alias("part"), "coordinates")
-    large = settle(sizes.where(F.col("_n") > max_vertices).select(key))
-    ordinary = collect(join_small(points, large, key, "left_anti", settled=True), [key]).withColumn("part", F.lit(0).cast("bigint"))
-    ranked = running_total(join_small(points, large, key, "left_semi", settled=True), [seq], keys=[key], out="_rank")
-    pieces = collect(ranked.withColumn("part", F.expr(f"(_rank - 1) div {int(max_vertices)}")), [key, "part"])
-    return ordinary.select(key, "part", "coordinates").unionByName(pieces.select(key, "part", "coordinates"))
+    ranked = running_total(points, [seq], keys=[key], out="_rank")
+    return _lines(ranked.withColumn("part", F.expr(f"(_rank - 1) div {int(max_vertices)}")), [key, "part"], seq, lon, lat)
 
 
 def lut_segments(lut: DataFrame) -> DataFrame:
-    """Consecutive entries (lut_id, lo, hi) of each table; the first has no lo, the last no hi.
-
-    Tables are short; entries of one table share a task.
-    """
+    """Consecutive entries (lut_id, lo, hi) of each table; the first has no lo, the last no hi."""
     entry = F.struct("v", "r", "g", "b")
     numbered = lut.where(~F.col("is_nv")).withColumn("lo", entry)
     w = W.partitionBy("lut_id").orderBy("v")

@@ -6,75 +6,80 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from cellweave.functions.color import color_linear, decode_rgb, rgb_to_hex
 from cellweave.operators.sizing import join_small
 
-MAX_ENTRIES = 65536
+def lut_spans(lut: DataFrame) -> DataFrame:
+    """Half-open spans [_from, _to) of each table (_lut), with the entries that bound them.
 
-
-def lut_entries(lut: DataFrame) -> DataFrame:
-    """One row per table: its entries in value order, and the nodata entry.
-
-    Colour tables are short texts; one longer than ``MAX_ENTRIES`` is refused before
-    any entries are gathered.
+    The span below the first entry has no ``_from`` and no ``_lo``, the last one no
+    ``_to`` and no ``_hi``. Of entries with equal value the least is met from below
+    (``_hi``, ``_at``), the greatest from above (``_lo``).
     """
-    longest = lut.groupBy("lut_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if longest > MAX_ENTRIES:
-        raise ValueError(f"colour table of {longest} entries exceeds {MAX_ENTRIES}")
     entry = F.struct("v", "r", "g", "b")
-    return lut.groupBy("lut_id").agg(
-        F.array_sort(F.collect_list(F.when(~F.col("is_nv"), entry))).alias("entries"),
-        F.min(F.when(F.col("is_nv"), F.struct("r", "g", "b"))).alias("nv"),
+    values = lut.where(~F.col("is_nv")).groupBy("lut_id", "v").agg(F.min(entry).alias("_at"), F.max(entry).alias("_lo"))
+    w = W.partitionBy("lut_id").orderBy("v")
+    spans = values.select(
+        F.col("lut_id").alias("_lut"), F.col("v").alias("_from"), F.lead("v").over(w).alias("_to"), "_lo", "_at",
+        F.lead("_at").over(w).alias("_hi"), F.lag("v").over(w).alias("_before"),
+    )
+    none = F.lit(None).cast(spans.schema["_at"].dataType)
+    below = spans.where(F.col("_before").isNull()).select(
+        "_lut", F.lit(None).cast("double").alias("_from"), F.col("_from").alias("_to"), none.alias("_lo"), none.alias("_at"), F.col("_at").alias("_hi")
     )
+    return spans.drop("_before").unionByName(below)
 
 
-def _with_table(pixels: DataFrame, lut: DataFrame) -> DataFrame:
-    return join_small(pixels, lut_entries(lut), "lut_id", "left")
+def _spanned(pixels: DataFrame, lut: DataFrame, v: Column) -> DataFrame:
+    """``pixels`` with the span that holds the value; a missing value has none."""
+    low = F.col("_from").isNull() | (v >= F.col("_from"))
+    high = F.col("_to").isNull() | (v < F.col("_to"))
+    return join_small(pixels, lut_spans(lut), (pixels["lut_id"] == F.col("_lut")) & v.isNotNull() & low & high, "left")
 
 
-def _bracket(v: Column) -> tuple[Column, Column]:
-    """Last entry not above the value, first not below it."""
-    below = F.filter(F.col("entries"), lambda e: e["v"] <= v)
-    above = F.filter(F.col("entries"), lambda e: e["v"] >= v)
-    return F.try_element_at(below, F.lit(-1)), F.try_element_at(above, F.lit(1))
+SPAN = ("_lut", "_from", "_to", "_lo", "_at", "_hi")
+
+
+def _upper(v: Column) -> Column:
+    """The first entry not below the value."""
+    return F.when(v == F.col("_from"), F.col("_at")).otherwise(F.col("_hi"))
 
 
 def _closest(v: Column) -> Column:
     """Closest entry, the lower one on a tie; NULL for a missing value."""
-    fields = ("v", "r", "g", "b")
-    ranked = F.transform(
-        F.col("entries"), lambda e: F.struct(F.abs(e["v"] - v).alias("d"), *[e[n].alias(n) for n in fields])
-    )
-    best = F.array_min(ranked)
-    return F.when(v.isNotNull(), F.struct(*[best[n].alias(n) for n in fields]))
+    near = F.col("_hi").isNull() | (v - F.col("_at.v") <= F.col("_hi.v") - v)
+    return F.when(F.col("_at").isNotNull() & near, F.col("_at")).otherwise(F.col("_hi"))
 
 
 def lut_bracket(pixels: DataFrame, lut: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``lo`` and ``hi``, the entries around the value."""
-    lo, hi = _bracket(F.col(value))
-    return _with_table(pixels, lut).withColumns({"lo": lo, "hi": hi}).drop("entries", "nv")
+    """Add ``lo`` and ``hi``, the last entry not above the value and the first not below it."""
+    v = F.col(value)
+    return _spanned(pixels, lut, v).withColumns({"lo": F.col("_lo"), "hi": _upper(v)}).drop(*SPAN)
 
 
 def lut_nearest(pixels: DataFrame, lut: DataFrame, value: str = "value") -> DataFrame:
     """Add ``entry``, the closest entry of the table."""
-    return _with_table(pixels, lut).withColumn("entry", _closest(F.col(value))).drop("entries", "nv")
+    return _spanned(pixels, lut, F.col(value)).withColumn("entry", _closest(F.col(value))).drop(*SPAN)
 
 
 def lut_colors(pixels: DataFrame, lut: DataFrame, mode: str = "linear", value: str = "value") -> DataFrame:
     """Add ``rgb``: interpolated or nearest colour; a missing value takes the nodata entry."""
-    joined, v = _with_table(pixels, lut), F.col(value)
+    v = F.col(value)
+    found = _spanned(pixels, lut, v)
     if mode == "linear":
-        lo, hi = _bracket(v)
-        found = joined.withColumns({"_lo": lo, "_hi": hi})
-        color = color_linear(v, F.col("_lo"), F.col("_hi"))
+        found = found.withColumn("_up", _upper(v))
+        color = color_linear(v, F.col("_lo"), F.col("_up"))
     elif mode == "nearest":
-        found = joined.withColumn("_e", _closest(v))
-        color = F.struct(*[F.col(f"_e.{n}").alias(n) for n in "rgb"])
+        found = found.withColumn("_up", _closest(v))
+        color = F.struct(*[F.col(f"_up.{n}").alias(n) for n in "rgb"])
     else:
         raise ValueError(f"unknown colour mode {mode!r}")
-    shown = found.withColumn("rgb", F.when(v.isNotNull(), color).otherwise(F.col("nv")))
-    return shown.drop("entries", "nv", "_lo", "_hi", "_e")
+    nodata = lut.where("is_nv").groupBy(F.col("lut_id").alias("_nv_lut")).agg(F.min(F.struct("r", "g", "b")).alias("_nv"))
+    joined = join_small(found, nodata, found["lut_id"] == F.col("_nv_lut"), "left")
+    known = v.isNotNull() & F.col("_lut").isNotNull()
+    return joined.withColumn("rgb", F.when(known, color).when(v.isNull(), F.col("_nv"))).drop(*SPAN, "_up", "_nv", "_nv_lut")
 
 
 def palette_linear(value: Column, palette: Sequence[tuple]) -> Column:

@@ -157,17 +157,32 @@ def to_feature_collection(features: DataFrame, order_by: str) -> DataFrame:
     return head.unionByName(lines).unionByName(tail)
 
 
+# How each encoding is read back. A packed value that was shifted also needs its offset.
+DECODE_FORMULAS = {
+    "terrain_rgb": "value = (R * 256 * 256 + G * 256 + B) * scale + offset",
+    "rgb_packed": "value = R + 256*G + 65536*B",
+    "rgb_packed_offset": "value = R + 256*G + 65536*B + offset",
+    "class_lookup": "value = R",
+}
+
+
 def layer_metadata(rows: DataFrame) -> DataFrame:
     """Metadata documents (layer, document) from registry rows.
 
-    An absent time period is left out of the document.
+    The formula follows the encoding's type; ``offset`` is what decoding adds. An absent time period is left out of the document.
     """
+    kind = F.col("type") if "type" in rows.columns else F.lit("terrain_rgb")
+    formula = F.lit(None).cast("string")
+    for name, text in DECODE_FORMULAS.items():
+        formula = F.when(kind == name, text).otherwise(formula)
+    shifted = (kind == "rgb_packed") & (F.col("offset") != 0)
+    formula = F.when(shifted, DECODE_FORMULAS["rgb_packed_offset"]).otherwise(formula)
     encoding = F.struct(
-        F.lit("terrain_rgb").alias("type") if "type" not in rows.columns else F.col("type"),
+        kind.alias("type"),
         F.col("scale").cast("double").alias("scale"),
         F.col("offset").cast("double").alias("offset"),
         F.coalesce("unit", F.lit("")).alias("unit"),
-        F.lit("value = (R * 256 * 256 + G * 256 + B) * scale + offset").alias("decode_formula"),
+        formula.alias("decode_formula"),
     )
     return rows.select(
         "layer", F.to_json(F.struct("layer", "description", "time_period", encoding.alias("encoding"))).alias("document")

@@ -108,7 +108,7 @@ def _binned(boxed: DataFrame, keep: Sequence[str], exact: bool) -> DataFrame:
     return bands.withColumn("_band", in_band).select(*keep, "_box", "_level", "_by", F.inline(kept))
 
 
-def _measure(boxed: DataFrame) -> tuple[list[int], float]:
+def _measure(boxed: DataFrame, keep: Sequence[str] = ()) -> tuple[list[int], float]:
     """Grid levels in use and an upper bound of the binned bytes, in one pass."""
     size = _bin_size(F.col("_level"))
     nx = F.floor(F.col("_box.max_x") / size) - F.floor(F.col("_box.min_x") / size) + 1
@@ -118,8 +118,10 @@ def _measure(boxed: DataFrame) -> tuple[list[int], float]:
         return F.floor(F.greatest(e["yi"], e["yj"]) / size) - F.floor(F.least(e["yi"], e["yj"]) / size) + 2
 
     edges = F.flatten(F.transform(F.col("_rings"), G.ring_edges))
+    # Each bin carries the kept columns.
+    carried = F.octet_length(F.to_json(F.struct(*keep))) if keep else F.lit(0)
     copies = F.aggregate(edges, F.lit(0).cast("bigint"), lambda total, e: total + bands(e))
-    levels, weight = boxed.agg(F.collect_set("_level"), F.sum(nx * (ny * 256.0 + copies * 32.0))).first()
+    levels, weight = boxed.agg(F.collect_set("_level"), F.sum(nx * (ny * (carried + 256.0) + copies * 32.0))).first()
     return sorted(levels) or [0], float(weight or 0.0)
 
 
@@ -127,7 +129,7 @@ def _grid_join(
     points: DataFrame, polygons: DataFrame, keep: Sequence[str], x: str, y: str, how: str, exact: bool
 ) -> DataFrame:
     boxed = _boxed(polygons, keep)
-    levels, weight = _measure(boxed)
+    levels, weight = _measure(boxed, keep)
     bins = _binned(boxed, keep, exact)
     broadcast = weight <= BROADCAST_BYTES
     px, py = F.col(x), F.col(y)
@@ -140,9 +142,9 @@ def _grid_join(
 
     salted = not broadcast
     if salted:
-        # A hot bin's points are dealt over SALTS tasks; the far smaller bins are copied.
+        # Points are dealt over SALTS tasks by their place, so equal points part too; the far smaller bins are copied.
         bins = bins.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        points = points.withColumn("_psalt", F.pmod(F.xxhash64(*points.columns), F.lit(SALTS)).cast("int"))
+        points = points.withColumn("_psalt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     bins = F.broadcast(bins) if broadcast else bins
 
     def probe(rows: DataFrame, level: Column, some_bins: DataFrame, kind: str) -> DataFrame:

@@ -50,3 +50,8 @@ PV_OUTPUT = (
     (3.0, 33, 102, 172), (3.5, 59, 130, 246), (3.75, 34, 197, 94), (4.0, 250, 204, 21), (4.25, 249, 115, 22),
     (4.5, 239, 68, 68), (5.0, 183, 28, 28),
 )
+
+# The value tables (value, code) of three class products. A value takes the code of the nearest entry.
+URBANISATION_CODES = ((-200, 0), (10, 10), (11, 11), (12, 12), (13, 13), (21, 21), (22, 22), (23, 23), (30, 30))
+FOREST_LOSS_CODES = ((0, 0), (1, 1))
+WATER_TRANSITION_CODES = ((0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7), (8, 8), (9, 9), (10, 10))

@@ -46,6 +46,7 @@ class ProductSpec:
     enc_scale: float = 1.0
     enc_offset: float = 0.0
     cap: float = MAX_24_BIT
+    codes: Sequence[tuple] = ()  # (value, code): a class takes the code of the nearest value
     source_crs: str = GEOGRAPHIC
     description: str = ""
     unit: str = ""
@@ -69,18 +70,19 @@ PRODUCTS = {
     "built_up": ProductSpec("built_up", "built_surface", "image", P.BUILT_UP, AOI_B, 100, cap=10000),
     "urbanisation": ProductSpec(
         "urbanisation", "smod_code", "image", P.URBANISATION, AOI_B, 1000, dtype="int16", nearest_color=True,
-        encoding="class"),
+        encoding="class", codes=P.URBANISATION_CODES),
     "elevation_90m": ProductSpec("elevation_90m", "elv", "image", P.ELEVATION_90M, AOI_A, 90, enc_offset=10000.0),
     "height_above_drainage": ProductSpec(
         "height_above_drainage", "hnd", "image", P.HEIGHT_ABOVE_DRAINAGE, AOI_A, 90),
     "upstream_area": ProductSpec("upstream_area", "upa", "image", P.UPSTREAM_AREA, AOI_A, 90),
     "forest_loss": ProductSpec(
-        "forest_loss", "loss", "image", P.FOREST_LOSS, AOI_A, 30, dtype="byte", nearest_color=True, encoding="class"),
+        "forest_loss", "loss", "image", P.FOREST_LOSS, AOI_A, 30, dtype="byte", nearest_color=True, encoding="class",
+        codes=P.FOREST_LOSS_CODES),
     "tree_cover": ProductSpec(
         "tree_cover", "treecover2000", "image", P.TREE_COVER, AOI_A, 30, dtype="byte", encoding="class"),
     "water_transition": ProductSpec(
         "water_transition", "transition", "image", P.WATER_TRANSITION, AOI_A, 30, dtype="byte", nearest_color=True,
-        encoding="class"),
+        encoding="class", codes=P.WATER_TRANSITION_CODES),
     "water_occurrence": ProductSpec(
         "water_occurrence", "occurrence", "image", P.WATER_OCCURRENCE, AOI_A, 30, dtype="byte", encoding="class"),
     "water_seasonality": ProductSpec(
@@ -146,6 +148,8 @@ def value_color(value: Column, spec: ProductSpec) -> Column:
         return encode_terrain(value, spec.enc_scale, spec.enc_offset)
     if spec.encoding == "packed":
         return encode_packed(value, spec.cap, spec.enc_offset)
+    if spec.codes:
+        return encode_class(palette_nearest(value, [(v, c, 0, 0) for v, c in spec.codes])["r"])
     return encode_class(value)
 
 
@@ -194,6 +198,6 @@ def spec_row(spark, spec: ProductSpec) -> DataFrame:
         F.lit(spec.time_period).cast("string").alias("time_period"),
         F.lit(kind).alias("type"),
         F.lit(float(spec.enc_scale)).alias("scale"),
-        F.lit(float(spec.enc_offset)).alias("offset"),
+        F.lit(float(-spec.enc_offset if spec.encoding == "packed" else spec.enc_offset)).alias("offset"),
         F.lit(spec.unit).alias("unit"),
     )

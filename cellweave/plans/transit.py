@@ -25,14 +25,14 @@ def stop_features(stops: DataFrame) -> DataFrame:
 
 
 def shape_lines(shapes: DataFrame) -> DataFrame:
-    """(shape_id, part, coordinates) in point sequence."""
+    """(shape_id, coordinates) in point sequence."""
     return to_linestrings(shapes, "shape_id", "shape_pt_sequence", "shape_pt_lon", "shape_pt_lat")
 
 
 def shape_features(shapes: DataFrame) -> DataFrame:
-    """(shape_id, part, feature)."""
+    """(shape_id, feature)."""
     return to_feature(
-        shape_lines(shapes), line_geometry(F.col("coordinates")), {"shape_id": F.col("shape_id")}, keep=["shape_id", "part"]
+        shape_lines(shapes), line_geometry(F.col("coordinates")), {"shape_id": F.col("shape_id")}, keep=["shape_id"]
     )
 
 
@@ -61,5 +61,5 @@ def route_features(shapes: DataFrame, trips: DataFrame, routes: DataFrame, order
         )
 
     return rows.select(
-        "shape_id", "part", F.when(F.col("_used"), text(full)).otherwise(text(F.struct("shape_id"))).alias("feature")
+        "shape_id", F.when(F.col("_used"), text(full)).otherwise(text(F.struct("shape_id"))).alias("feature")
     )

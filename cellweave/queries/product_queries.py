@@ -135,6 +135,14 @@ def nearest_sql(palette, channel: int) -> str:
     return f"(CASE {steps} WHEN value IS NOT NULL THEN {palette[-1][channel]} END)::INTEGER"
 
 
+# The codes listed in the value tables of three class products.
+VALUE_CODES = {
+    "urbanisation": ((-200, 0), (10, 10), (11, 11), (12, 12), (13, 13), (21, 21), (22, 22), (23, 23), (30, 30)),
+    "forest_loss": ((0, 0), (1, 1)),
+    "water_transition": ((0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7), (8, 8), (9, 9), (10, 10)),
+}
+
+
 def product_sql(name: str) -> str:
     spec = PR.PRODUCTS[name]
     paint = nearest_sql if spec.nearest_color else lambda p, i: palette_sql("value", p, i)
@@ -147,6 +155,8 @@ def product_sql(name: str) -> str:
         shifts = (0, 8, 16)
     else:
         code, shifts = "round_even(least(greatest(value, 0), 255), 0)", (0, 8, 16)
+        if name in VALUE_CODES:
+            code = nearest_sql(VALUE_CODES[name], 1)
     encoded = ", ".join(f"((n >> {s}) & 255)::INTEGER AS e{c}" for s, c in zip(shifts, "rgb"))
     return f"""{grid_sql(name)}, cells AS (SELECT layer, "row", "col", {cast_sql(spec.dtype)} AS value FROM moved),
     coded AS (SELECT *, CASE WHEN value IS NULL THEN 0 ELSE {code}::BIGINT END AS n FROM cells)

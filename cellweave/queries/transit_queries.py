@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cellweave.functions.numeric import round_even
 from cellweave.operators import joins as J
 from cellweave.operators import nested as NE
-from cellweave.operators.aggregates import to_linestrings
+from cellweave.operators.aggregates import linestring_parts
 from cellweave.plans import transit as TR
 from cellweave.queries import tables as T
 from cellweave.queries.catalog import even, query
@@ -28,18 +28,18 @@ def _(spark, d):
     return J.shapes_with_routes(shapes, T.trips(spark, d), T.routes(spark, d).select("route_id", "route_type")).select("shape_id", "n", "route_id", "route_type")
 
 
-@query("a15_to_linestrings", "SELECT shape_id, 0 AS part, list([lon, lat] ORDER BY seq) AS coordinates FROM shapes GROUP BY shape_id")
+@query("a15_to_linestrings", "SELECT shape_id, list([lon, lat] ORDER BY seq) AS coordinates FROM shapes GROUP BY shape_id")
 def _(spark, d):
-    return TR.shape_lines(T.shapes(spark, d)).select("shape_id", F.col("part").cast("int").alias("part"), "coordinates")
+    return TR.shape_lines(T.shapes(spark, d))
 
 
 @query(
     "a15_linestring_parts",
-    """WITH r AS (SELECT *, row_number() OVER (PARTITION BY shape_id ORDER BY seq) - 1 AS rn, count(*) OVER (PARTITION BY shape_id) AS n FROM shapes)
-    SELECT shape_id, CASE WHEN n > 48 THEN rn // 48 ELSE 0 END AS part, list([lon, lat] ORDER BY seq) AS coordinates FROM r GROUP BY 1, 2""",
+    """WITH r AS (SELECT *, row_number() OVER (PARTITION BY shape_id ORDER BY seq) - 1 AS rn FROM shapes)
+    SELECT shape_id, rn // 48 AS part, list([lon, lat] ORDER BY seq) AS coordinates FROM r GROUP BY 1, 2""",
 )
 def _(spark, d):
-    lines = to_linestrings(T.shapes(spark, d), "shape_id", "shape_pt_sequence", "shape_pt_lon", "shape_pt_lat", max_vertices=48)
+    lines = linestring_parts(T.shapes(spark, d), 48, "shape_id", "shape_pt_sequence", "shape_pt_lon", "shape_pt_lat")
     return lines.select("shape_id", "part", "coordinates")
 
 
@@ -86,7 +86,8 @@ def _(spark, d):
 @query(
     "nj10_layer_metadata",
     """SELECT layer, '{"layer":"' || layer || '","description":"d' || k || '"' || CASE WHEN k % 3 = 0 THEN '' ELSE ',"time_period":"' || (2000 + k % 25) || '"' END ||
-      ',"encoding":{"type":"terrain_rgb","scale":0.5,"offset":' || (k % 10) || '.0,"unit":"' || CASE WHEN k % 4 = 0 THEN '' ELSE 'm' END || '","decode_formula":"value = (R * 256 * 256 + G * 256 + B) * scale + offset"}}' AS document
+      ',"encoding":{"type":"' || CASE k % 5 WHEN 0 THEN 'class_lookup' WHEN 1 THEN 'rgb_packed' ELSE 'terrain_rgb' END || '","scale":0.5,"offset":' || (k % 10) || '.0,"unit":"' || CASE WHEN k % 4 = 0 THEN '' ELSE 'm' END || '","decode_formula":"value = ' ||
+      CASE k % 5 WHEN 0 THEN 'R' WHEN 1 THEN 'R + 256*G + 65536*B' || CASE WHEN k % 10 <> 0 THEN ' + offset' ELSE '' END ELSE '(R * 256 * 256 + G * 256 + B) * scale + offset' END || '"}}' AS document
     FROM (SELECT 'S' || p_partkey AS layer, p_partkey AS k FROM part)""",
 )
 def _(spark, d):
@@ -94,7 +95,7 @@ def _(spark, d):
     rows = T.read(spark, d, "part").select(
         F.concat(F.lit("S"), k).alias("layer"), F.concat(F.lit("d"), k).alias("description"),
         F.when(k % 3 != 0, (k % 25 + 2000).cast("string")).alias("time_period"), F.lit(0.5).alias("scale"), (k % 10).alias("offset"),
-        F.when(k % 4 != 0, "m").alias("unit"),
+        F.when(k % 4 != 0, "m").alias("unit"), F.when(k % 5 == 0, "class_lookup").when(k % 5 == 1, "rgb_packed").otherwise("terrain_rgb").alias("type"),
     )
     return NE.layer_metadata(rows)
 
@@ -106,11 +107,11 @@ def _(spark, d):
     return parsed.select(F.col("f.geometry.coordinates")[0].alias("stop_lon"), F.col("f.geometry.coordinates")[1].alias("stop_lat"), "f.properties.*")
 
 
-@query("p21_shapes", "SELECT shape_id, list(lon ORDER BY seq) AS lons, count(*) AS n FROM shapes GROUP BY shape_id")
+@query("p21_shapes", "SELECT shape_id, list([lon, lat] ORDER BY seq) AS coordinates, count(*) AS n FROM shapes GROUP BY shape_id")
 def _(spark, d):
     f = TR.shape_features(T.shapes(spark, d)).select("feature.*")
     coordinates = F.col("geometry.coordinates")
-    return f.select("properties.shape_id", F.transform(coordinates, lambda c: c[0]).alias("lons"), F.size(coordinates).cast("bigint").alias("n"))
+    return f.select("properties.shape_id", F.transform(coordinates, lambda c: F.array(c[0], c[1])).alias("coordinates"), F.size(coordinates).cast("bigint").alias("n"))
 
 
 @query(
@@ -133,9 +134,10 @@ def _(spark, d):
     )
 
 
-@query("s14_stop_positions", f"SELECT stop_id, {even('6378137.0::DOUBLE * radians(stop_lon)', 3)} AS x FROM stops WHERE stop_lon IS NOT NULL")
+@query("s14_stop_positions", f"SELECT stop_id, {even('6378137.0::DOUBLE * radians(stop_lon)', 3)} AS x, {even('6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(stop_lat) / 2))', 3)} AS y FROM stops WHERE stop_lon IS NOT NULL")
 def _(spark, d):
     from cellweave.functions.projection import to_mercator
 
     placed = T.stops(spark, d).where("stop_lon is not null")
-    return placed.select("stop_id", round_even(to_mercator(F.col("stop_lon"), F.col("stop_lat"))[0], 3).alias("x"))
+    x, y = to_mercator(F.col("stop_lon"), F.col("stop_lat"))
+    return placed.select("stop_id", round_even(x, 3).alias("x"), round_even(y, 3).alias("y"))

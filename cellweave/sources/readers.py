@@ -61,12 +61,16 @@ def read_or(spark: SparkSession, read, schema: str | T.StructType, on_missing: s
         return spark.createDataFrame([], schema)
 
 
-def read_gtfs(spark: SparkSession, folder: str, table: str, on_missing: str = "fail") -> DataFrame:
-    """A feed table; columns are matched by header name, so order and extras do not matter."""
+def read_gtfs(spark: SparkSession, folder: str, table: str, on_missing: str = "fail", line_breaks: bool = True) -> DataFrame:
+    """A feed table; columns are matched by header name, so order and extras do not matter.
+
+    Quotes inside a field are doubled. ``line_breaks`` allows breaks inside quoted fields;
+    without it a large file is split over tasks.
+    """
     schema = T.StructType.fromDDL(GTFS[table])
 
     def read() -> DataFrame:
-        raw = spark.read.option("header", True).csv(f"{folder}/{table}.txt")
+        raw = spark.read.options(header=True, quote='"', escape='"', multiLine=line_breaks).csv(f"{folder}/{table}.txt")
         present = set(raw.columns)
         columns = []
         for field in schema:

@@ -14,7 +14,9 @@ ROW_BLOCK = 256
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def write_geojson(features: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -30,24 +32,24 @@ def write_feature_collection(lines: DataFrame, path: str, mode: str = "overwrite
 def write_pixels(pixels: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Pixel table by layer, sorted in square blocks so that window filters skip row groups."""
     block = [F.expr(f"row div {ROW_BLOCK}"), F.expr(f"col div {ROW_BLOCK}")]
-    pixels.repartitionByRange("layer", *block).sortWithinPartitions("layer", *block, "row", "col").write.mode(mode).partitionBy("layer").parquet(path)
+    pixels.repartitionByRange("layer", *block).sortWithinPartitions("layer", *block, "row", "col").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("layer").parquet(path)
 
 
 def write_overviews(levels: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Pyramid by layer and level."""
     order = ["layer", "level", "row", "col"]
-    levels.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy("layer", "level").parquet(path)
+    levels.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("layer", "level").parquet(path)
 
 
 def write_tiles(tiles: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Tile pixels by layer and zoom, sorted by tile. Range partitioning spreads hot zooms."""
     order = ["layer", "z", "x", "y"]
-    tiles.repartitionByRange(*order, "py").sortWithinPartitions(*order, "py", "px").write.mode(mode).partitionBy("layer", "z").parquet(path)
+    tiles.repartitionByRange(*order, "py").sortWithinPartitions(*order, "py", "px").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("layer", "z").parquet(path)
 
 
 def write_metadata(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON document per line, by layer."""
-    documents.select("layer", F.col("document").alias("value")).write.mode(mode).partitionBy("layer").text(path)
+    documents.select("layer", F.col("document").alias("value")).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("layer").text(path)
 
 
 def publish_path(template: str = PUBLISH_TEMPLATE, **keys: str) -> str:

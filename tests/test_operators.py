@@ -123,7 +123,9 @@ def test_pivot_names_absent_codes(spark):
 
 def test_hot_linestring_is_whole(spark):
     df = spark.range(0, 900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("shape_id"), F.col("id").alias("seq"), (F.col("id") * 1.0).alias("lon"), F.lit(0.0).alias("lat"))
-    lines = A.to_linestrings(df, max_vertices=64)
+    whole = {r.shape_id: len(r.coordinates) for r in A.to_linestrings(df).collect()}
+    assert whole["hot"] == 300 and sum(whole.values()) == 900
+    lines = A.linestring_parts(df, 64)
     assert lines.agg(F.sum(F.size("coordinates"))).first()[0] == 900
     assert lines.agg(F.max(F.size("coordinates"))).first()[0] == 64
     hot = [c[0] for r in lines.where("shape_id = 'hot'").orderBy("part").collect() for c in r.coordinates]
@@ -263,3 +265,16 @@ def test_filters_reach_the_scan(spark):
     o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     text = plan(FL.where_in(o, "o_custkey", [1, 2]).select("o_orderkey"))
     assert "In(o_custkey" in text and "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
+
+
+def test_shuffled_point_join_takes_maps_and_equal_points(spark, monkeypatch):
+    from cellweave.operators import spatial as SP
+
+    ring = "array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 4D, 'y', 0D), named_struct('x', 4D, 'y', 4D), named_struct('x', 0D, 'y', 4D), named_struct('x', 0D, 'y', 0D)))"
+    polygons = spark.sql(f"SELECT 'p' AS id, 'n' AS name, array({ring}) AS parts")
+    points = spark.range(1000).selectExpr("id AS k", "1D AS x", "2D AS y", "map('a', 'b') AS props")
+    assert SP.pip_join(points, polygons, keep=("id",)).count() == 1000
+    monkeypatch.setattr(SP, "BROADCAST_BYTES", -1)
+    joined = SP.pip_join(points, polygons, keep=("id",))
+    assert joined.count() == 1000
+    assert SP.pip_join(points, polygons, keep=(), how="anti").count() == 0

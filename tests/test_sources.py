@@ -100,3 +100,46 @@ def test_whole_product(spark):
     path = scratch_path(spark, "tiles")
     sinks.write_tiles(made["visual_tiles"], path)
     assert spark.read.parquet(path).count() == made["visual_tiles"].count()
+
+
+def test_csv_quotes_commas_breaks_and_blanks(spark, tmp_path):
+    from cellweave.sources import readers, sinks
+
+    name = 'Rua "Nova", centro\n  '
+    (tmp_path / "routes.txt").write_text('route_id,route_short_name,route_long_name,route_type,route_color\n1,A,"Rua ""Nova"", centro\n  ",3,00FF00\n')
+    row = readers.read_gtfs(spark, str(tmp_path), "routes").first()
+    assert (row.route_long_name, row.route_type, row.route_color) == (name, 3, "00FF00")
+    out = str(tmp_path / "csv")
+    sinks.write_csv(spark.createDataFrame([(1, name), (2, " lead ")], "k INT, t STRING"), out)
+    text = "".join(p.read_text() for p in sorted((tmp_path / "csv").glob("*.csv")))
+    assert '"Rua ""Nova"", centro\n  "' in text and "2, lead " in text
+
+
+def test_metadata_decodes_what_products_encode(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from cellweave.operators.nested import layer_metadata
+    from cellweave.plans import products as PR
+
+    for spec in PR.PRODUCTS.values():
+        encoding = json.loads(layer_metadata(PR.spec_row(spark, spec)).first().document)["encoding"]
+        value = {"class": float(spec.codes[1][0]) if spec.codes else 1.0, "terrain": spec.enc_offset + 7 * spec.enc_scale, "packed": 9.0}[spec.encoding]
+        c = spark.range(1).select(PR.value_color(F.lit(value), spec).alias("c")).first().c
+        found = eval(encoding["decode_formula"].removeprefix("value = "), {"R": c.r, "G": c.g, "B": c.b, "scale": encoding["scale"], "offset": encoding["offset"]})  # noqa: S307
+        assert abs(found - value) < 1e-6, spec.layer
+
+
+def test_layers_written_apart_stay(spark, tmp_path):
+    from cellweave.sources import sinks
+
+    cells = spark.createDataFrame([("a", 0, 0, 1.0), ("b", 0, 0, 2.0)], "layer STRING, row LONG, col LONG, value DOUBLE")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for layer in ("a", "b", "b"):
+            sinks.write_pixels(cells.where(cells.layer == layer), str(tmp_path / "px"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert sorted(r.layer for r in spark.read.parquet(str(tmp_path / "px")).collect()) == ["a", "b"]
