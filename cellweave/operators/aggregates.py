@@ -100,7 +100,7 @@ def percentile_exact(df: DataFrame, value: str, probs: Sequence[float], keys: Se
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total(counts, [value], F.col("_n"), keys, out="_upto")
-    totals = settle(ranked.groupBy(*keys).agg(F.max("_upto").alias("_total")))
+    totals = settle(ranked.groupBy(*keys).agg(F.sum("_n").alias("_total")))  # needs no window
     wanted = totals.select(*keys, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
     at = F.col("prob") * (F.col("_total") - 1)
     wanted = wanted.select(*keys, "prob", (at - F.floor(at)).alias("_t"), F.floor(at).alias("_lo"), F.ceil(at).alias("_hi"))

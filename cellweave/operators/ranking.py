@@ -54,7 +54,7 @@ def running_total(
 
 
 def dedupe_first(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
-    """First row per key in the given order; one partially aggregated pass, no sort of groups."""
+    """First row per key in the given order; one pass that is aggregated before the shuffle."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     packed = F.struct(*[F.col(c) for c in df.columns if c not in keys])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import geometry as G
 from cellweave.functions.numeric import ratio, round_even
 from cellweave.operators.sizing import BROADCAST_BYTES, join_small
+from cellweave.session import settle
 
 LEVEL_BASE = 4.0
 LOWEST_LEVEL, HIGHEST_LEVEL = -20, 20
@@ -221,7 +222,7 @@ def clip_geometry(pixels: DataFrame, area: Sequence[float] | DataFrame, x: str =
 
 def unmatched(polygons: DataFrame, stats: DataFrame, key: str = "id") -> DataFrame:
     """Polygons without a statistics row."""
-    return join_small(polygons, stats.select(key), key, "left_anti")
+    return join_small(polygons, settle(stats.select(key).distinct()), key, "left_anti", settled=True)
 
 
 def count_centroids(polygons: DataFrame, settlements: DataFrame, key: str = "id") -> DataFrame:
