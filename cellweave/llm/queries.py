@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm import bpe, kneser_ney, line_chunks, line_rules, packing, ppm, recompression, simhash, toxicity, vectors
+from cellweave.llm.workers import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = on_workers(fn)
     return fn
 
 
