@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm import kneser_ney, line_chunks, packing, recompression, simhash
+from cellweave.llm.workers import on_workers
 from cellweave.session import scratch_path
 
 
@@ -46,11 +47,11 @@ def _measured(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("line_dedup", line_dedup),
-    ("simhash_near_dedup", simhash_near_dedup),
-    ("substring_dedup", substring_dedup),
-    ("packing", pack),
+    ("quality_classifier", on_workers(quality_classifier)),
+    ("line_dedup", on_workers(line_dedup)),
+    ("simhash_near_dedup", on_workers(simhash_near_dedup)),
+    ("substring_dedup", on_workers(substring_dedup)),
+    ("packing", on_workers(pack)),
 ]
 
 #: Perplexities, fingerprints and token ids can't be written in SQL; tests compare with brute force.
