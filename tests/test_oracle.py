@@ -5,9 +5,9 @@ import pytest
 
 import __spark_entry__ as contract
 
-# Products whose area the few cells of the smallest scale don't reach.
+# Products whose area the few cells of the smallest scale don't reach, and a report of faults that it does not have.
 EMPTY = """
-p01_land_cover p02_ndvi p03_night_lights p04_elevation_30m p05_population
+j13_unmatched p01_land_cover p02_ndvi p03_night_lights p04_elevation_30m p05_population
 p05_population_value_tiles p06_built_up p07_urbanisation p08_elevation_90m p09_height_above_drainage
 p10_upstream_area p11_forest_loss p12_tree_cover p13_water_transition p14_water_occurrence
 p15_water_seasonality p18_solar_pixels p19_solar_zones
