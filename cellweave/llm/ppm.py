@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from cellweave.llm.text import Tokens, slices
 from cellweave.session import settle
 
-CHUNK_BYTES = 48 << 20
+CHUNK_BYTES = 32 << 20
 ORDER = 5
-HELD = 4_000_000
+HELD = 3_000_000
+SLICE = 1 << 20
 BITS = 9
 END = 257
 END_WORD = -7046029254386353131
@@ -27,17 +28,20 @@ def grams(tokens: Tokens, order: int) -> tuple[np.ndarray, np.ndarray]:
     """
     sizes = np.diff(tokens.texts)
     offsets = tokens.texts + np.arange(len(tokens.texts))
-    symbols = np.full(offsets[-1], END, np.int64)
-    place = np.arange(len(tokens.data)) + np.repeat(np.arange(len(sizes)), sizes)
-    symbols[place] = tokens.data.astype(np.int64) + 1
-    since = np.arange(len(symbols)) - np.repeat(offsets[:-1], np.diff(offsets))
-    out = symbols.copy()
+    # Each text has ``order`` zeros before it, so no gram reaches into the one before.
+    place = np.arange(len(tokens.data)) + np.repeat(np.arange(len(sizes)) + order * np.arange(1, len(sizes) + 1), sizes)
+    padded = np.zeros(offsets[-1] + order * len(sizes), np.int16)
+    padded[place] = tokens.data
+    padded[place] += 1
+    ends = offsets[1:] - 1 + order * np.arange(1, len(sizes) + 1)
+    padded[ends] = END
+    out = padded.astype(np.int64)
     for k in range(1, order + 1):
-        back = np.zeros(len(symbols), np.int64)
-        back[k:] = symbols[:-k]
-        back[since < k] = 0
-        out |= back << (BITS * k)
-    return out, offsets
+        out[k:] |= padded[:-k].astype(np.int64) << (BITS * k)
+    inside = np.zeros(len(padded), bool)
+    inside[place] = True
+    inside[ends] = True
+    return out[inside], offsets
 
 
 def _tail(gram: str, length: int) -> Column:
@@ -46,7 +50,7 @@ def _tail(gram: str, length: int) -> Column:
 
 
 def model(counted: DataFrame, order: int) -> DataFrame:
-    """(gram, cost): log10 probability of the last symbol of every gram after the others.
+    """(gram, cost), cost being the log10 probability of the last symbol of every gram after the others.
 
     ``counted`` has the training count of every gram that is to be scored, 0 included. The
     trie's nodes are the suffixes of the grams; a node's symbols with n of t occurrences
@@ -54,39 +58,40 @@ def model(counted: DataFrame, order: int) -> DataFrame:
     context, where symbols already seen in the longer one are excluded. After the empty
     context the symbols that were never seen share what is left alike.
     """
-    trained = counted.where("n > 0")
-    nodes: dict[int, DataFrame] = {}
+    nodes = {order + 1: counted.where("n > 0").withColumnRenamed("gram", "g")}
+    for size in range(order, 0, -1):
+        nodes[size] = settle(nodes[size + 1].groupBy(_tail("g", size).alias("g")).agg(F.sum("n").alias("n")))
+
+    def contexts(size: int) -> DataFrame:
+        """Of each context of grams of this size: t occurrences, d kinds, and the occurrences x of its kinds in the shorter context."""
+        inside = nodes[size].withColumn("c", F.shiftright("g", BITS))
+        if size == 1:
+            return inside.groupBy("c").agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("d"), F.lit(0).cast("long").alias("x"))
+        below = nodes[size - 1].select(F.col("g").alias("short"), F.col("n").alias("below"))
+        joined = inside.withColumn("short", _tail("g", size - 1)).join(below, "short")
+        return joined.groupBy("c").agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("d"), F.sum("below").alias("x"))
+
+    top = settle(contexts(order + 1))
+    seen = nodes[order + 1].withColumn("c", F.shiftright("g", BITS)).join(top, "c")
+    out = seen.select(F.col("g").alias("gram"), F.log10((F.col("n") - 0.5) / F.col("t")).alias("cost"))
+    # Grams that training lacks walk down the trie; esc is what the escapes have cost so far.
+    state = counted.where("n = 0").select("gram", F.lit(0.0).alias("esc"), F.lit(None).cast("double").alias("cost"), F.lit(0).cast("long").alias("out_d"), F.lit(0).cast("long").alias("out_x"))
     for size in range(order + 1, 0, -1):
-        source = trained if size == order + 1 else nodes[size + 1].withColumnRenamed(f"g{size + 1}", "gram").withColumnRenamed(f"n{size + 1}", "n")
-        nodes[size] = settle(source.groupBy(_tail("gram", size).alias(f"g{size}")).agg(F.sum("n").alias(f"n{size}")))
-    scored = counted.select("gram")
-    cost, esc, done = F.lit(None).cast("double"), F.lit(0.0), F.lit(False)
-    steps: list[Column] = []
-    for size in range(order + 1, 0, -1):
-        inside = nodes[size].withColumn("c", F.shiftright(f"g{size}", BITS)).withColumn("s", _tail(f"g{size}", 1))
-        if size > 1:
-            shorter = nodes[size - 1].withColumnRenamed(f"g{size - 1}", "short").withColumnRenamed(f"n{size - 1}", "below")
-            inside = inside.withColumn("short", _tail(f"g{size}", size - 1)).join(shorter, "short")
-        else:
-            inside = inside.withColumn("below", F.lit(0))
-        contexts = inside.groupBy("c").agg(F.sum(f"n{size}").alias(f"t{size}"), F.count(F.lit(1)).alias(f"d{size}"), F.sum("below").alias(f"x{size}"))
-        scored = scored.withColumn(f"g{size}", _tail("gram", size)).withColumn("c", F.shiftright(f"g{size}", BITS))
-        scored = scored.join(nodes[size], f"g{size}", "left").join(contexts, "c", "left").drop("c")
-        steps.append(size)
-    scored = settle(scored)
-    before = None
-    for size in steps:
-        seen = F.col(f"d{size}").isNotNull()
-        total = F.col(f"t{size}") - (F.coalesce(F.col(f"x{before}"), F.lit(0)) if before else F.lit(0))
-        kinds = F.col(f"d{size}") - (F.coalesce(F.col(f"d{before}"), F.lit(0)) if before else F.lit(0))
-        hit = ~done & F.col(f"n{size}").isNotNull()
-        cost = F.when(hit, esc + F.log10((F.col(f"n{size}") - 0.5) / total)).otherwise(cost)
-        done = done | F.col(f"n{size}").isNotNull()
-        esc = esc + F.when(~done & seen & (kinds > 0), F.log10(kinds / (2 * total))).otherwise(F.lit(0.0))
-        scored = scored.withColumns({"cost": cost, "esc": esc, "done": done})
-        cost, esc, done, before = F.col("cost"), F.col("esc"), F.col("done"), size
-    rest = F.greatest(F.lit(END) - F.coalesce("d1", F.lit(0)), F.lit(1))
-    return scored.select("gram", F.when(done, cost).otherwise(esc - F.log10(rest)).alias("cost"))
+        own = nodes[size].select(F.col("g").alias("_g"), F.col("n").alias("_n"))
+        around = (top if size == order + 1 else contexts(size)).select(F.col("c").alias("_c"), "t", "d", "x")
+        keyed = state.withColumn("_g", _tail("gram", size)).withColumn("_c", F.shiftright("_g", BITS))
+        met = keyed.join(own, "_g", "left").join(around, "_c", "left")
+        open_, known = F.col("cost").isNull(), F.col("d").isNotNull()
+        total, kinds = F.col("t") - F.col("out_x"), F.col("d") - F.col("out_d")
+        state = settle(met.select(
+            "gram",
+            F.when(open_ & F.col("_n").isNull() & known & (kinds > 0), F.col("esc") + F.log10(kinds / (2 * total))).otherwise(F.col("esc")).alias("esc"),
+            F.when(open_ & F.col("_n").isNotNull(), F.col("esc") + F.log10((F.col("_n") - 0.5) / total)).otherwise(F.col("cost")).alias("cost"),
+            F.coalesce("d", F.lit(0).cast("long")).alias("out_d"),
+            F.coalesce("x", F.lit(0).cast("long")).alias("out_x"),
+        ))
+    rest = F.greatest(F.lit(END) - F.col("out_d"), F.lit(1))
+    return out.unionByName(state.select("gram", F.coalesce("cost", F.col("esc") - F.log10(rest)).alias("cost")))
 
 
 def _distinct(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +143,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str =
         def merged() -> tuple[np.ndarray, np.ndarray]:
             return _distinct(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
 
-        for part in slices(batches, "_text"):
+        for part in slices(batches, "_text", SLICE):
             train = (~part.column("held_out").to_numpy(zero_copy_only=False)).astype(np.int64)
             words, at, found, to = _keys(part.column("_text"), order)
             held.append(_distinct(np.concatenate([words, found]), np.concatenate([np.repeat(train, np.diff(at)), np.repeat(train, np.diff(to))])))
@@ -152,11 +157,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str =
     counted = settle(rows.select("held_out", "_text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
     n_train, kinds = counted.where("key < 0 AND n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     costs = model(counted.where("key >= 0").withColumnRenamed("key", "gram"), order).withColumnRenamed("gram", "key")
-    costs = settle(costs.unionByName(counted.where("key < 0").select("key", F.log10(F.col("n") + 1).alias("cost"))))
+    costs = settle(costs.unionByName(counted.where("key < 0").select("key", F.col("n").alias("cost"))).withColumn("cost", F.col("cost").cast("float")))
     schema = rows.select(F.col("_id"), "held_out").withColumns({"n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"), "base": F.lit(0.0), "score": F.lit(0.0)}).schema
 
     def ask(table: pa.Table) -> pa.Table:
-        found = [np.unique(np.concatenate([k[0], k[2]])) for part in slices(table.to_batches(), "_text") for k in [_keys(part.column("_text"), order)]]
+        found = [np.unique(np.concatenate([k[0], k[2]])) for part in slices(table.to_batches(), "_text", SLICE) for k in [_keys(part.column("_text"), order)]]
         keys = np.unique(np.concatenate(found))
         return pa.table({"chunk": np.full(len(keys), table.column("chunk")[0].as_py()), "key": keys})
 
@@ -164,10 +169,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str =
         keys, cost = right.column("key").to_numpy(), right.column("cost").to_numpy()
         at = np.argsort(keys)
         keys, cost, out = keys[at], cost[at], []
-        for part in slices(left.to_batches(), "_text"):
+        for part in slices(left.to_batches(), "_text", SLICE):
             words, ends, found, to = _keys(part.column("_text"), order)
-            each = cost[np.searchsorted(keys, words)]
-            value = _sums(cost[np.searchsorted(keys, found)], to)
+            each = np.log10(cost[np.searchsorted(keys, words)].astype(np.float64) + 1)
+            value = _sums(cost[np.searchsorted(keys, found)].astype(np.float64), to)
             out.append(pa.RecordBatch.from_arrays([part.column("_id"), part.column("held_out"), pa.array(np.diff(ends)), pa.array(_sums(each > 0, ends).astype(np.int64)), pa.array(_sums(each, ends)), pa.array(value)], schema.names))
         return pa.Table.from_batches(out)
 
