@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.ppm import BITS, END, grams
 from cellweave.llm.text import Tokens, slices
+from cellweave.operators.sizing import join_small
 from cellweave.session import settle
 
 ORDER = 4
@@ -29,7 +30,8 @@ def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """(_id, _text) of trusted texts of the first fold, by hash of the id, within both bounds."""
     good = _trusted(labels, id_col, quality, 0)
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text")).where("_id IS NOT NULL AND _text <> ''")
-    drawn = texts.join(good, "_id", "left_semi").select("_id", F.octet_length("_text").alias("_size"), F.xxhash64("_id").alias("_at")).orderBy("_at", "_id", "_size").limit(max_docs)
+    sizes = texts.select("_id", F.octet_length("_text").alias("_size"), F.xxhash64("_id").alias("_at"))
+    drawn = sizes.join(good, "_id", "left_semi").orderBy("_at", "_id", "_size").limit(max_docs)
     upto = F.sum("_size").over(Window.orderBy("_at", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0))
     ids = settle(drawn.withColumn("_upto", upto).where(F.col("_upto") <= max_bytes).select("_id").distinct())
     return texts.join(F.broadcast(ids), "_id")
@@ -151,7 +153,7 @@ def perplexities(docs: DataFrame, model: DataFrame, keep: list[str], text: str =
 def thresholds(scored: DataFrame, quantile: float, slack: float) -> tuple[DataFrame, float | None]:
     """(_of, own) by language from (_lang, perplexity) of trusted texts, and that of all of them."""
     level = F.percentile_approx("perplexity", quantile, 10000) * slack
-    return scored.groupBy(F.col("_lang").alias("_of")).agg(level.alias("own")), scored.agg(level).first()[0]
+    return settle(scored.groupBy(F.col("_lang").alias("_of")).agg(level.alias("own"))), scored.agg(level).first()[0]
 
 
 def _passes(limit: Column, evidence: float) -> Column:
@@ -180,7 +182,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     scored = settle(perplexities(rows, model, ["_id", "_lang"], "_text", order=order))
     bounds, overall = thresholds(scored.join(good, "_id", "left_semi"), quantile, slack)
     limit = F.coalesce("own", F.lit(overall).cast("double"))
-    return scored.join(bounds, F.col("_lang") == F.col("_of"), "left").select(
+    return join_small(scored, bounds, F.col("_lang") == F.col("_of"), "left", settled=True).select(
         F.col("_id").alias(id_col), F.col("_lang").alias(lang), "perplexity", limit.alias("threshold"), _passes(limit, evidence).alias("kept")
     )
 
@@ -188,17 +190,17 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", quality: str = "quality", quantile: float = 0.98, slack: float = 1.05, evidence: float = 8.0, order: int = ORDER, max_docs: int = TRUSTED_DOCS, max_bytes: int = TRUSTED_BYTES) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps, with all columns.
 
-    Trusted texts are scored first, for the thresholds; then all rows are scored and
-    filtered as they stream by, so no text is shuffled or stored.
+    All rows are scored once for the thresholds, of which ids and perplexities are left, and
+    once more to be filtered as they stream by, so no text is shuffled or stored.
     """
     model, good = fit(docs, labels, id_col, text, quality, order, max_docs, max_bytes)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").alias("_text"))
-    trusted = settle(perplexities(rows.join(good, "_id", "left_semi"), model, ["_lang"], "_text", order=order))
-    bounds, overall = thresholds(trusted, quantile, slack)
+    trusted = perplexities(rows, model, ["_id", "_lang"], "_text", order=order).join(good, "_id", "left_semi")
+    bounds, overall = thresholds(settle(trusted), quantile, slack)
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
     place = {c: n for n, c in zip(names, docs.columns, strict=True)}
     scored = perplexities(plain, model, names, place[text], order=order)
-    joined = scored.join(bounds, F.col(place[lang]).cast("string") == F.col("_of"), "left")
+    joined = join_small(scored, bounds, F.col(place[lang]).cast("string") == F.col("_of"), "left", settled=True)
     limit = F.coalesce("own", F.lit(overall).cast("double"))
     return joined.where(_passes(limit, evidence)).select(*names).toDF(*docs.columns)
