@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import combinations
-from math import acos, ceil, log, log2, pi
+from math import ceil, log, log2
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.graph import components
-from cellweave.llm.text import boundaries, slices, union, whole_groups, words
+from cellweave.llm.text import boundaries, mix, slices, union, whole_groups, words
 from cellweave.session import settle
 
 CELL = 4096
+#: Nodes and bytes of text of one share of a group of candidates.
+SHARE, SHARE_BYTES = 2048, 4 << 20
+#: Candidates of ``keep_one`` differ in so many of 256 bits at most, and are drawn for so large a
+#: share of equal bits: what is expected of 4 and 5 shingles of Jaccard 0.8, the worst of all sizes.
+RADIUS, AGREE = 68, 0.8125
 WORK = 1 << 17
 
 
@@ -31,13 +36,13 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _of_slice(texts: pa.Array, shingle: int, seed: int, width: int = 1) -> np.ndarray:
-    """Fingerprints (rows, width) of a slice of texts."""
+def _shingles(texts: pa.Array, shingle: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of a slice of texts, one text after the other, and their number by text."""
     offsets, flat = words(texts, lower=True)
     joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), flat), " ")
     sizes = pc.binary_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
     hash_of = xxhash.xxh64_intdigest
-    hashes, counts = [], np.zeros(len(texts), np.int64)
+    hashes, counts = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
     for i, text in enumerate(joined.cast(pa.binary() if pa.types.is_string(joined.type) else pa.large_binary())):
         n = offsets[i + 1] - offsets[i]
         if not n:
@@ -51,10 +56,25 @@ def _of_slice(texts: pa.Array, shingle: int, seed: int, width: int = 1) -> np.nd
             spans = zip(starts[: n - shingle + 1].tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)
             hashes.append(np.fromiter((hash_of(raw[a:b], seed) for a, b in spans), np.uint64, n - shingle + 1))
         counts[i] = len(hashes[-1])
-    out = np.zeros((len(texts), width), np.uint64)
+    return np.concatenate(hashes), counts
+
+
+def _as_sets(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's hashes once and in order, and their number by text."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+    return h[new], np.bincount(text[new], minlength=len(counts))
+
+
+def _prints(h: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
+    """Fingerprints (texts, width) from shingle hashes."""
+    out = np.zeros((len(counts), width), np.uint64)
     full = np.flatnonzero(counts)
     if len(full):
-        h, ends = np.concatenate(hashes), np.cumsum(counts[full])
+        ends = np.cumsum(counts[full])
         starts = ends - counts[full]
         for k in range(width):
             mixed = _mixed(h, k)
@@ -64,6 +84,11 @@ def _of_slice(texts: pa.Array, shingle: int, seed: int, width: int = 1) -> np.nd
     return out
 
 
+def _of_slice(texts: pa.Array, shingle: int, seed: int, width: int = 1) -> np.ndarray:
+    """Fingerprints (rows, width) of a slice of texts."""
+    return _prints(*_shingles(texts, shingle, seed), width)
+
+
 def fingerprints(docs: DataFrame, text: str = "text", keep: Iterable[str] = ("doc_id",), shingle: int = 4, seed: int = 42, width: int = 1) -> DataFrame:
     """``keep`` columns and the fingerprint words ``f0`` to ``f<width-1>`` (long) of every row.
 
@@ -199,22 +224,72 @@ def links(prints: DataFrame, radius: int = 4, blocks: int = 6) -> DataFrame:
     return _forest_edges(_with_keys(prints, [F.col("f0").bitwiseAND(F.lit(_signed(m))) for m in masks]), 1, radius)
 
 
-def wide_links(prints: DataFrame, width: int, similarity: float, seed: int = 7) -> DataFrame:
-    """Edges (a, b) that connect ``prints`` (node, f0..) whose share of equal bits is ``similarity`` or more.
+def wide_links(prints: DataFrame, width: int, radius: int, agree: float = AGREE, seed: int = 7) -> DataFrame:
+    """Edges (a, b) that connect ``prints`` (node, f0..) that differ in at most ``radius`` bits.
 
     Prints that agree on some sample of bits are compared on all. The samples lengthen
-    with the logarithm of the number of prints, and there are so many that a pair just
-    within the bound, of Jaccard similarity 0.8, is missed in 1 of 50 cases at most.
+    with the logarithm of the number of prints, and there are so many that a pair whose
+    share of equal bits is ``agree`` is missed in 1 of 100 cases at most.
     """
     bits, rng = 64 * width, np.random.default_rng(seed)
     length = max(12, ceil(log2(max(prints.count(), 1) / 8 + 1)))
-    agree = 1 - acos(2 * 0.8 / 1.8) / pi
     keys = []
-    for _ in range(ceil(log(0.02) / log(1 - agree**length))):
+    for _ in range(ceil(log(0.01) / log(1 - agree**length))):
         drawn = rng.choice(bits, length, replace=False).tolist()
         masks = [sum(1 << (b % 64) for b in drawn if b // 64 == w) for w in range(width)]
         keys.append(F.xxhash64(*[F.col(f"f{w}").bitwiseAND(F.lit(_signed(m))) for w, m in enumerate(masks) if m]))
-    return _forest_edges(_with_keys(prints, keys), width, int(bits * (1 - similarity)))
+    return _forest_edges(_with_keys(prints, keys), width, radius)
+
+
+def _alike(h: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """Least index linked with each of the sets, those of Jaccard ``similarity`` or more being linked.
+
+    A set is compared with all before it that aren't linked with it yet, a growing number
+    at a time, since in a group of copies the first one met links it.
+    """
+    parent, ends = np.arange(len(counts)), np.cumsum(counts)
+    code = np.unique(h, return_inverse=True)[1]
+    held = np.zeros(len(code) and int(code.max()) + 1, bool)
+    for u in range(1, len(counts)):
+        own = code[ends[u] - counts[u] : ends[u]]
+        held[own] = True
+        small, large = np.minimum(counts[:u], counts[u]), np.maximum(counts[:u], counts[u])
+        left, take = np.flatnonzero((small >= similarity * large - 1e-9) & (small > 0)), 1
+        while len(left := left[parent[left] != parent[u]]):
+            v, left, take = left[:take], left[take:], take * 8
+            n = counts[v]
+            upto = np.cumsum(n)
+            common = np.add.reduceat(held[code[np.repeat(ends[v] - upto, n) + np.arange(upto[-1])]].astype(np.int64), upto - n)
+            v = v[common >= similarity * (n + counts[u] - common) - 1e-9]
+            union(parent, np.full(len(v), u), v)
+        held[own] = False
+    return parent
+
+
+def _verified(texts: DataFrame, shingle: int, similarity: float, seed: int) -> DataFrame:
+    """Edges (a, b) that connect all ``texts`` (root, node, text) of equal root whose shingle sets
+    have Jaccard ``similarity`` or more. A root with very many or long texts is dealt over pairs of shares."""
+    keys = ["root", "i", "j"]
+    load = F.ceil(F.greatest(F.count(F.lit(1)) / SHARE, F.sum(F.octet_length("text")) / SHARE_BYTES))
+    large = settle(texts.groupBy("root").agg(load.alias("shares")).where("shares > 1"))
+    dealt = (
+        texts.join(large, "root", "left")
+        .withColumn("shares", F.coalesce("shares", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("shares")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+        .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "text")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups((x for b in batches for x in slices([b], "text")), keys, 1 << 11):
+            node, cuts = table.column("node").to_numpy(), [*boundaries(table, keys).tolist(), table.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b - a > 1:
+                    linked = _alike(*_as_sets(*_shingles(table.column("text").slice(a, b - a).combine_chunks(), shingle, seed)), similarity)
+                    moved = np.flatnonzero(linked != np.arange(b - a))
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a + moved]), pa.array(node[a + linked[moved]])], ["a", "b"])
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, blocks: int = 6) -> DataFrame:
@@ -238,20 +313,37 @@ def hex_of(fingerprint: Column | str) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, width: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, width: int = 4, seed: int = 42) -> DataFrame:
     """``docs`` with one row of each component of near duplicates: the one with the least id.
 
-    Fingerprints have ``width`` words, so the share of equal bits separates copies from
-    other texts. Null ids come last; of rows with equal ids one stays. All columns return.
+    Two texts are linked if the Jaccard similarity of their sets of shingles is
+    ``similarity`` or more. Fingerprints of ``width`` words over the sets only find
+    groups of candidates, RADIUS of their bits apart; within a group all are compared by
+    their shingles. Null ids come last; of rows with equal ids one of a component stays.
+    All columns return.
     """
     taken = set(docs.columns)
     tag = next(n for n in (f"_tag{k}" for k in range(len(taken) + 1)) if n not in taken)
     rows = settle(docs.withColumn(tag, F.monotonically_increasing_id()))
-    tagged = settle(fingerprints(rows.withColumn("_id", F.col(f"`{id_col}`")), text, ["_id", tag], shingle, width=width).withColumnRenamed(tag, "_tag"))
+    plain = rows.select(F.col(f"`{id_col}`").alias("_id"), F.col(tag).alias("_tag"), F.col(f"`{text}`").cast("string").alias("text"))
     words_of = [f"f{k}" for k in range(width)]
+    made = ["_sum", *words_of]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            h, n = _as_sets(*_shingles(part.column("text"), shingle, seed))
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h), dtype=np.uint64)])
+            ends = np.cumsum(n)
+            own = np.column_stack([upto[ends] - upto[ends - n], _prints(h, n, width)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(np.ascontiguousarray(own[:, k])) for k in range(width + 1))], ["_id", "_tag", *made])
+
+    schema = plain.drop("text").withColumns({c: F.lit(0).cast("long") for c in made}).schema
+    tagged = settle(plain.mapInArrow(run, schema))
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_tag"))
-    prints = settle(tagged.groupBy(*words_of).agg(F.min(order).alias("least")).withColumn("node", F.col("least._tag")))
-    roots = components(wide_links(prints.select("node", *words_of), width, similarity))
-    heads = prints.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
+    nodes = settle(tagged.groupBy(*made).agg(F.min(order).alias("least")).withColumn("node", F.col("least._tag")))
+    groups = components(wide_links(nodes.select("node", *words_of), width, RADIUS * width // 4))
+    texts = plain.join(groups.withColumnRenamed("node", "_tag"), "_tag").select("root", F.col("_tag").alias("node"), "text")
+    roots = components(_verified(settle(texts), shingle, similarity, seed))
+    heads = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
     gone = tagged.select("_tag").join(heads.select("least._tag"), "_tag", "left_anti")
     return rows.join(gone.withColumnRenamed("_tag", tag), tag, "left_anti").drop(tag)

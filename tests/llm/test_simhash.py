@@ -72,3 +72,35 @@ def test_empty_and_keep_one(spark):
     assert kept.columns == ["doc_id", "text", "_tag0"]
     assert sorted(r.doc_id for r in kept.collect()) == [3, 9, 11]
     assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def alike(a, b, n=5):
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_keep_one_at_the_bound(spark):
+    """Pairs just below Jaccard 0.8 stay whole, pairs at 0.8 or just above lose one side."""
+    rng, rows, want = np.random.default_rng(8), [], {True: 0, False: 0}
+    for k in range(300):
+        n = int(rng.integers(6, 400))
+        words = [f"p{k}w{i}" for i in range(n)]
+        tail = int(rng.integers(0, 1 + n // 3))
+        pair = " ".join(words), " ".join([*words[: n - tail], *(f"q{k}w{i}" for i in range(tail))])
+        if 0.55 <= (j := alike(*pair)) < 1:
+            want[j >= 0.8] += 1
+            rows += [(2 * len(rows), pair[0], j >= 0.8), (2 * len(rows) + 1, pair[1], j >= 0.8)]
+    rows += [(10**6 + k, " ".join(f"s{k}w{i}" for i in range(8 + d)), True) for k in range(0, 200, 2) for d in (0, 1)]
+    assert all(alike(a[1], b[1]) == 0.8 for a, b in zip(rows[-200::2], rows[-199::2]))
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, near boolean").repartition(5)).collect()
+    assert want[True] > 50 and want[False] > 50
+    assert sum(not r.near for r in kept) == 2 * want[False]
+    assert sum(r.near for r in kept) <= 1.05 * (want[True] + 100)
+
+
+@pytest.mark.parametrize("share", [3, 2048])
+def test_group_is_dealt_over_shares(spark, monkeypatch, share):
+    monkeypatch.setattr(simhash, "SHARE", share)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join([*words[:k], f"z{k}", *words[k + 1 :]])) for k in range(20, 60)]
+    assert [r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [20]
