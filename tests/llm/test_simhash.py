@@ -104,3 +104,9 @@ def test_group_is_dealt_over_shares(spark, monkeypatch, share):
     words = [f"w{i}" for i in range(100)]
     rows = [(k, " ".join([*words[:k], f"z{k}", *words[k + 1 :]])) for k in range(20, 60)]
     assert [r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [20]
+
+
+def test_texts_without_words_drop_nothing(spark):
+    rows = [(1, ""), (2, None), (3, " \n")] + [(10 + k, " ".join(f"e{k}w{i}" for i in range(6))) for k in range(400)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [r[0] for r in rows]
