@@ -70,3 +70,38 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     left = F.transform(F.filter("_chunks", lambda c, k: ~F.array_contains("_gone", k)), lambda c: c["body"])
     out = F.when(F.col("_gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
     return marked.select(*[out.alias(c) if c == place[text] else F.col(c) for c in names]).toDF(*docs.columns)
+
+
+def remove_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the lines of repeated passages of two lines or more; all columns return.
+
+    Two lines with more than blanks that follow each other, but for blank ones, are a
+    pair. Of equal pairs the first stays, in the order of ``remove_repeated``; the lines
+    of all others go, with the blank ones between them. So a passage is found from its
+    second line on wherever it lies, and every line that goes also stands at an earlier
+    place that stays. Pairs whose 64-bit hash occurs again are compared by MD5. A null
+    text stays null; rows with equal id and text are one document and stay alike.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    plain, place = docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+    name, whole = F.col(place[id_col]), F.col(place[text])
+    body = whole.cast("string")
+    rows = plain.where(body.isNotNull()).select(name.alias("_id"), F.xxhash64(body).alias("_print"), F.split(body, "\n").alias("_text"))
+    rows = _held(rows, _lines=F.col("_text")).drop("_text")
+    solid = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.rtrim(F.translate(F.get("_lines", i), "\t\r\f\v", "    ")) != "")
+    rows = _held(rows, _solid=solid).where(F.size("_solid") > 1)
+    both = lambda k: F.concat(F.get("_lines", F.get("_solid", k)), F.lit("\n"), F.get("_lines", F.get("_solid", k + 1)))
+    pair = lambda k: F.struct(F.get("_solid", k).alias("first"), F.get("_solid", k + 1).alias("last"), F.xxhash64(both(k)).alias("hash"), F.unhex(F.md5(both(k))).alias("md5"))
+    pairs = rows.select("_id", "_print", F.explode(F.transform(F.sequence(F.lit(0), F.size("_solid") - 2), pair)).alias("_p")).select("_id", "_print", "_p.*")
+    again = pairs.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("hash")
+    same = settle(pairs.join(again, "hash", "left_semi"))
+    where = F.struct("_id", "_print", "first")
+    firsts = same.groupBy("md5").agg(F.min(where).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    gone = same.join(firsts, "md5").where(~where.eqNullSafe(F.col("_first")))
+    gone = gone.groupBy("_id", "_print").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("_gone"))
+    keyed = plain.withColumns({"_id": name, "_print": F.xxhash64(body)})
+    joined = keyed.alias("l").join(gone.alias("r"), F.expr("l._print = r._print AND l._id <=> r._id"), "left").select("l.*", "r._gone")
+    marked = _held(joined, _lines=F.when(F.col("_gone").isNotNull(), F.split(body, "\n")))
+    marked = _held(marked, _left=F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"))
+    out = F.when(F.col("_gone").isNull(), whole).otherwise(F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n"))
+    return marked.select(*[out.alias(c) if c == place[text] else F.col(c) for c in names]).toDF(*docs.columns)

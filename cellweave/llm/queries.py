@@ -96,6 +96,13 @@ def op7_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5"))
 
 
+@register
+def op7_line_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without repeated passages of two lines or more: what is left, as length and digest."""
+    left = line_chunks.remove_passages(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5"))
+
+
 ORACLES["op7_line_chunks"] = """
 WITH line AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i,

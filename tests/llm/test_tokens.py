@@ -177,3 +177,31 @@ def test_line_chunks(spark):
     twice = spark.createDataFrame([(1, "a\nb\nc\nd\ne\nf"), (1, "a\nb\nc\nd\ne\nf"), (None, "a\nb\nc\nd\ne\nf")], "doc_id long, text string")
     assert len({r.text for r in line_chunks.remove_repeated(twice).where("doc_id = 1").collect()}) == 1
     assert line_chunks.remove_repeated(docs.limit(0)).count() == 0
+
+
+def brute_passages(rows):
+    solid = lambda x: bool(x.strip(" \t\r\f\v"))
+    seen, left = set(), {}
+    for i, text in rows:
+        lines = [] if text is None else text.split("\n")
+        full, gone = [k for k, x in enumerate(lines) if solid(x)], set()
+        for a, b in zip(full, full[1:], strict=False):
+            if (lines[a], lines[b]) in seen:
+                gone.update(range(a, b + 1))
+            seen.add((lines[a], lines[b]))
+        left[i] = None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return left
+
+
+def test_line_passages(spark):
+    rng = np.random.default_rng(6)
+    lines = [f"line {i}" for i in range(60)] + ["", " ", "\t"]
+    rows = [(i, "\n".join(rng.choice(lines, rng.integers(0, 25)))) for i in range(60)]
+    rows += [(60 + i, "\n".join([f"head {i}", "short", "passage", f"tail {i}"])) for i in range(20)]
+    rows += [(90, "c\nd\ne"), (91, "c\nd\ne"), (100, None), (101, ""), (102, "\n\n"), (103, "x\n" * 3000), (104, "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_lines", F.lit(1)).withColumn("_gone", F.lit("h")).repartition(4)
+    done = line_chunks.remove_passages(docs)
+    got = {r.doc_id: r.text for r in done.collect()}
+    assert done.columns == docs.columns and got == brute_passages(rows)
+    assert all(got[60 + i] == f"head {i}\ntail {i}" for i in range(1, 20)) and got[91] == ""
+    assert line_chunks.remove_passages(docs.limit(0)).count() == 0
