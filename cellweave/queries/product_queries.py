@@ -284,3 +284,9 @@ VIEWS["painted"] = f"""SELECT layer, "row", "col", {', '.join(f"{palette_sql('(v
 def _(spark, d):
     scaled = T.scenes(spark, d).withColumn("value", F.col("value") / 500)
     return PR.product_tiles(scaled, T.SCENE, PR.PRODUCTS["elevation_30m"], "visual", 9, 10)
+
+
+@query("g06_visual_tiles_whole")
+def _(spark, d):
+    scaled = T.scenes(spark, d).withColumn("value", F.col("value") / 500)
+    return T.tile_digests(PR.product_tiles(scaled, T.SCENE, PR.PRODUCTS["elevation_30m"], "visual", 8, 15))

@@ -132,6 +132,12 @@ def _(spark, d):
     return stored.where((F.col("band") == "A") & (F.col("year") == 2023)).select("layer", "row", "col", "image_id", "value")
 
 
+@query("src05_image_collection_whole", 'SELECT layer, band, "year"(ts)::INTEGER AS year, "row", "col", image_id, value FROM obs')
+def _(spark, d):
+    """All bands and years."""
+    return RD.image_collection(spark, obs_store(spark, d)).select("layer", "band", F.col("year").cast("int").alias("year"), "row", "col", "image_id", "value")
+
+
 @query("src06_image", """SELECT layer, "row", "col", value FROM obs WHERE band = 'N' AND image_id = '2024-02'""")
 def _(spark, d):
     return RD.image(spark, obs_store(spark, d), "2024-02", "N").select("layer", "row", "col", "value")
@@ -228,6 +234,13 @@ def _(spark, d):
     return spark.read.parquet(path).where("row < 20").select("layer", "row", "col", "value")
 
 
+@query("snk03_write_pixels_whole", """SELECT layer, "row", "col", value FROM scenes""")
+def _(spark, d):
+    path = scratch_path(spark, "pixels")
+    SK.write_pixels(T.scenes(spark, d), path)
+    return spark.read.parquet(path).select("layer", "row", "col", "value")
+
+
 @query("snk04_write_overviews", """SELECT layer, "row" >> 1 AS "row", "col" >> 1 AS "col", value FROM scenes WHERE "row" % 2 = 0 AND "col" % 2 = 0""")
 def _(spark, d):
     path = scratch_path(spark, "overviews")
@@ -235,6 +248,17 @@ def _(spark, d):
     return spark.read.parquet(path).where("level = 1").select("layer", "row", "col", "value")
 
 
+@query(
+    "snk04_write_overviews_whole",
+    " UNION ALL ".join(f"""SELECT layer, {k} AS level, "row" >> {k} AS "row", "col" >> {k} AS "col", value FROM scenes WHERE "row" % {2**k} = 0 AND "col" % {2**k} = 0""" for k in range(3)),
+)
+def _(spark, d):
+    """All levels written."""
+    path = scratch_path(spark, "overviews")
+    SK.write_overviews(OG.overviews(T.scenes(spark, d), "nearest", 2), path)
+    return spark.read.parquet(path).select("layer", "level", "row", "col", "value")
+
+
 @query("snk05_write_tiles", f"SELECT layer, x, y, count(*) AS n_px, max(value) AS top FROM ({tile_sql('scenes', T.SCENE, range(11, 12), 'layer, value')}) GROUP BY ALL")
 def _(spark, d):
     path = scratch_path(spark, "tiles")
@@ -243,6 +267,14 @@ def _(spark, d):
     return tiles.groupBy("layer", "x", "y").agg(F.count("*").alias("n_px"), F.max("value").alias("top"))
 
 
+@query("snk05_write_tiles_whole")
+def _(spark, d):
+    """Every tile of every zoom written, as a digest of its pixels; SQL is too slow for the last zooms."""
+    path = scratch_path(spark, "tiles")
+    SK.write_tiles(OG.tile(T.scenes(spark, d), T.SCENE, 8, 15), path)
+    return T.tile_digests(spark.read.parquet(path))
+
+
 @query("snk06_write_metadata", "SELECT 'S' || p_partkey % 10 AS layer, count(*) AS n FROM part GROUP BY 1")
 def _(spark, d):
     path = scratch_path(spark, "metadata")

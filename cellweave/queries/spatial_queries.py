@@ -328,6 +328,12 @@ def _(spark, d):
     return OG.tile(T.scenes(spark, d), T.SCENE, 8, 11)
 
 
+@query("g05_tile_whole")
+def _(spark, d):
+    """Zooms 8 to 15, each tile as a digest of its pixels; SQL is too slow for the last ones."""
+    return T.tile_digests(OG.tile(T.scenes(spark, d), T.SCENE, 8, 15))
+
+
 VIEWS["packed_cells"] = """SELECT layer, "row", "col", (n & 255)::INTEGER AS r, ((n >> 8) & 255)::INTEGER AS g, ((n >> 16) & 255)::INTEGER AS b
   FROM (SELECT *, CASE WHEN value IS NULL THEN 0 ELSE round_even(least(greatest(value, 0), 16777215), 0)::BIGINT END AS n FROM scenes)"""
 
@@ -339,6 +345,13 @@ def _(spark, d):
     return product_tiles(T.scenes(spark, d), T.SCENE, PRODUCTS["population"], "value", 10, 11)
 
 
+@query("g06_value_tiles_whole")
+def _(spark, d):
+    from cellweave.plans.products import PRODUCTS, product_tiles
+
+    return T.tile_digests(product_tiles(T.scenes(spark, d), T.SCENE, PRODUCTS["population"], "value", 8, 15))
+
+
 @query(
     "a17_overviews_average",
     f"""WITH l1 AS (SELECT layer, "row" // 2 AS "row", "col" // 2 AS "col", avg(value) AS value FROM scenes GROUP BY ALL),
