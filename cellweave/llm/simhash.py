@@ -319,8 +319,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     Two texts are linked if the Jaccard similarity of their sets of shingles is
     ``similarity`` or more. Fingerprints of ``width`` words over the sets only find
     groups of candidates, RADIUS of their bits apart; within a group all are compared by
-    their shingles. Texts without words are nobody's copies and all stay. Null ids come
-    last; of rows with equal ids one of a component stays. All columns return.
+    their shingles. Texts without words are copies of each other, never of a text with
+    words. Null ids come last; of rows with equal ids one of a component stays.
+    All columns return.
     """
     taken = set(docs.columns)
     tag = next(n for n in (f"_tag{k}" for k in range(len(taken) + 1)) if n not in taken)
@@ -335,15 +336,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
             upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h), dtype=np.uint64)])
             ends = np.cumsum(n)
             own = np.column_stack([upto[ends] - upto[ends - n], _prints(h, n, width)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(np.ascontiguousarray(own[:, k])) for k in range(width + 1)), pa.array(n > 0)], ["_id", "_tag", *made, "_full"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(np.ascontiguousarray(own[:, k])) for k in range(width + 1))], ["_id", "_tag", *made])
 
-    schema = plain.drop("text").withColumns({c: F.lit(0).cast("long") for c in made} | {"_full": F.lit(True)}).schema
+    schema = plain.drop("text").withColumns({c: F.lit(0).cast("long") for c in made}).schema
     tagged = settle(plain.mapInArrow(run, schema))
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_tag"))
-    nodes = settle(tagged.where("_full").groupBy(*made).agg(F.min(order).alias("least")).withColumn("node", F.col("least._tag")))
+    nodes = settle(tagged.groupBy(*made).agg(F.min(order).alias("least")).withColumn("node", F.col("least._tag")))
     groups = components(wide_links(nodes.select("node", *words_of), width, RADIUS * width // 4))
     texts = plain.join(groups.withColumnRenamed("node", "_tag"), "_tag").select("root", F.col("_tag").alias("node"), "text")
     roots = components(_verified(settle(texts), shingle, similarity, seed))
     heads = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
-    gone = tagged.where("_full").select("_tag").join(heads.select("least._tag"), "_tag", "left_anti")
+    gone = tagged.select("_tag").join(heads.select("least._tag"), "_tag", "left_anti")
     return rows.join(gone.withColumnRenamed("_tag", tag), tag, "left_anti").drop(tag)
