@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, kneser_ney, line_chunks, line_rules, packing, ppm, recompression, simhash, toxicity, vectors
+from cellweave.llm import alignment, bpe, kneser_ney, line_chunks, line_rules, packing, ppm, recompression, simhash, toxicity, vectors
 from cellweave.llm.workers import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,7 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @register
@@ -89,6 +90,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@register
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by two tokenizers: groups that both share, and links by corpus-wide counts."""
+    return alignment.align(table(spark, folder, "documents"), BPE_RANKS, public_tokenizers.PATTERN, PIECES)
+
+
 @register
 def op7_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without repeated chunks of lines: what is left of each, as length and digest."""
