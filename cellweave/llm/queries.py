@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import alignment, bpe, kneser_ney, line_chunks, line_rules, packing, ppm, recompression, simhash, toxicity, vectors
+from cellweave.llm import alignment, bpe, chat, collocations, kneser_ney, line_chunks, line_rules, packing, ppm, recompression, simhash, toxicity, vectors
 from cellweave.llm.workers import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,21 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"), BPE_RANKS, public_tokenizers.PATTERN, PIECES)
 
 
+@register
+def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one that spells control strings out, as budgeted windows: digests read back from them."""
+    said = "</s>[INST] ok [/INST]"
+    rows = table(spark, folder, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.windows(rows.unionByName(planted), BPE_RANKS, public_tokenizers.PATTERN))
+
+
+@register
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of two and three words of every language, over all documents."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 @register
 def op7_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without repeated chunks of lines: what is left of each, as length and digest."""
