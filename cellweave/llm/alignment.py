@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,8 @@ from cellweave.session import settle
 SLICE = 1 << 20
 CHUNK_BYTES = 8 << 20
 WINDOW_IDS = 64
-MEMO = 200_000
+MEMO = 400_000
+GROUP_LINKS = 4096
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 B_MARK = np.int32(1 << 30)
 
@@ -67,70 +68,109 @@ def _pair(ranks: str, pattern: str, pieces: str) -> Pair:
     return Pair(ranks, pattern, pieces)
 
 
+def _column(values: np.ndarray, size: int, new: np.ndarray) -> np.ndarray:
+    """``new`` behind the first ``size`` values, in an array that grows by doubling."""
+    if size + len(new) > len(values):
+        values = np.concatenate([values, np.empty(size + len(new), np.int64)])
+    values[size : size + len(new)] = new
+    return values
+
+
+def _shared_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of A, and of B, that end where one of the other ends."""
+    is_end = np.zeros(int(a_ends[-1]) + 1 if len(a_ends) else 1, bool)
+    is_end[b_ends] = True
+    shared = np.flatnonzero(is_end[a_ends])
+    is_end[b_ends] = False
+    is_end[a_ends] = True
+    return shared, np.flatnonzero(is_end[b_ends])
+
+
 class Windows:
     """Alignments of windows by their id tuples: the groups as text, and the id pairs with their links.
 
-    A window of more than WINDOW_IDS ids is aligned each time it occurs, so the memory of a
-    remembered one is bounded; their number is bounded by MEMO.
+    A window of more than WINDOW_IDS ids is not remembered beyond its slice, so the memory
+    of a remembered one is bounded; their number is bounded by MEMO. The distinct new
+    windows of a slice are aligned together.
     """
 
     def __init__(self, pair: Pair):
-        self.a_len, self.b_len = pair.lengths[0].tolist(), pair.lengths[1].tolist()
+        self.pair = pair
+        self.spelt = pa.array([f"{i}{end}" for table, ends in ((pair.a_bytes, ",|"), (pair.b_bytes, ",;")) for i in range(len(table)) for end in ends], pa.large_string())
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.number: dict[int, int] = {}
         self.texts: list[str] = []
-        self.starts: list[int] = [0]
-        self.pairs: list[int] = []
-        self.links: list[int] = []
-
-    def _learn(self, key: bytes) -> int:
-        ids = np.frombuffer(key, np.int32)
-        own = int((ids < B_MARK).sum())
-        a, b = ids[:own].tolist(), (ids[own:] - B_MARK).tolist()
-        texts, found = [], Counter()
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a):
-            at_a += self.a_len[a[i]]
-            i += 1
-            while at_b < at_a:
-                at_b += self.b_len[b[j]]
-                j += 1
-            if at_a == at_b:
-                left, right = a[first_a:i], b[first_b:j]
-                texts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                if len(left) == 1 == len(right):
-                    found[left[0] << 32 | right[0]] += 1
-                else:
-                    counted = Counter(right)
-                    for x, n in Counter(left).items():
-                        for y, m in counted.items():
-                            found[x << 32 | y] += n * m
-                first_a, first_b = i, j
-        self.texts.append(";".join(texts))
+        self.starts, self.pairs, self.links = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.size = 0
+
+    def _learn(self, keys: list[bytes]) -> None:
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        window = np.repeat(np.arange(len(keys)), [len(k) // 4 for k in keys])
+        right = ids >= B_MARK
+        a, b, a_window = ids[~right], ids[right] - B_MARK, window[~right]
+        last_a, last_b = _shared_ends(np.cumsum(self.pair.lengths[0][a]), np.cumsum(self.pair.lengths[1][b]))
+        n_a, n_b, of = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1), a_window[last_a]
+        first_a, first_b = last_a - n_a + 1, last_b - n_b + 1
+        # The groups as text: every id with the sign behind it, A's before B's in each group.
+        sign = np.empty(len(ids), np.int64)
+        sign[np.arange(len(a)) + np.repeat(first_b, n_a)] = 2 * a.astype(np.int64)
+        sign[np.arange(len(b)) + np.repeat(last_a + 1, n_b)] = 2 * (len(self.pair.a_bytes) + b.astype(np.int64))
+        sign[last_a + first_b] += 1
+        sign[last_a + 1 + last_b] += 1
+        spelt = self.spelt.take(pa.array(sign))
+        at = np.frombuffer(spelt.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(np.bincount(window, minlength=len(keys)))])].tolist()
+        text = spelt.buffers()[2].to_pybytes().decode()
+        self.texts += [text[x : y - 1] for x, y in zip(at, at[1:], strict=False)]
+        links = n_a * n_b
+        few = links <= GROUP_LINKS
+        each = np.where(few, links, 0)
+        group = np.repeat(np.arange(len(of)), each)
+        step = np.arange(len(group)) - np.repeat(np.cumsum(each) - each, each)
+        pairs = [a[first_a[group] + step // n_b[group]].astype(np.int64) << 32 | b[first_b[group] + step % n_b[group]]]
+        owner, times = [of[group]], [np.ones(len(group), np.int64)]
+        for g in np.flatnonzero(~few).tolist():
+            x, n = np.unique(a[first_a[g] : last_a[g] + 1].astype(np.int64), return_counts=True)
+            y, m = np.unique(b[first_b[g] : last_b[g] + 1].astype(np.int64), return_counts=True)
+            pairs.append((x[:, None] << 32 | y).ravel())
+            times.append(np.outer(n, m).ravel())
+            owner.append(np.full(len(pairs[-1]), of[g]))
+        distinct, at_pair = np.unique(np.concatenate(pairs), return_inverse=True)
+        code, times = _added(np.concatenate(owner) * max(len(distinct), 1) + at_pair, np.concatenate(times))
         numbers = self.number
-        self.pairs += [numbers.setdefault(p, len(numbers)) for p in found]
-        self.links += found.values()
-        self.starts.append(len(self.pairs))
-        if len(ids) <= WINDOW_IDS:
-            self.known[key] = len(self.texts) - 1
-        return len(self.texts) - 1
-
-    def align(self, keys: list[bytes]) -> list[int]:
+        place = np.array([numbers.setdefault(p, len(numbers)) for p in distinct.tolist()], np.int64)
+        ends = np.cumsum(np.bincount(code // max(len(distinct), 1), minlength=len(keys)))
+        done = len(self.texts) - len(keys)
+        self.starts = _column(self.starts, done + 1, self.size + ends)
+        self.pairs = _column(self.pairs, self.size, place[code % max(len(distinct), 1)])
+        self.links = _column(self.links, self.size, times)
+        self.size += len(code)
+
+    def align(self, keys: list[bytes]) -> np.ndarray:
         """The number of each window's alignment."""
         found = list(map(self.known.get, keys))
-        for k, x in enumerate(found):
-            if x is None:
-                x = self.known.get(keys[k])
-                found[k] = self._learn(keys[k]) if x is None else x
-        return found
+        new = list(dict.fromkeys(k for k, x in zip(keys, found, strict=True) if x is None))
+        if new:
+            fresh = {k: n for n, k in enumerate(new, len(self.texts))}
+            self._learn(new)
+            found = [fresh[k] if x is None else x for k, x in zip(keys, found, strict=True)]
+            self.known.update((k, n) for k, n in fresh.items() if len(k) <= 4 * WINDOW_IDS)
+        return np.array(found, np.int64)
+
+
+def _added(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, with the sum of n."""
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-    return np.fromiter((i for x in lists for i in x), np.int32, offsets[-1]), offsets
+    return np.fromiter(chain.from_iterable(lists), np.int32, offsets[-1]), offsets
 
 
 def _window_keys(a: np.ndarray, b: np.ndarray, a_end: np.ndarray, b_end: np.ndarray) -> list[bytes]:
@@ -146,34 +186,23 @@ def _window_keys(a: np.ndarray, b: np.ndarray, a_end: np.ndarray, b_end: np.ndar
 def _aligned(pair: Pair, windows: Windows, texts: list[str]) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Figures and groups of each text, then (text, pair number, links) of all its distinct id pairs, by text."""
     (a, a_at), (b, b_at) = map(_flat, pair.encode(texts))
-    a_ends, b_ends = np.cumsum(pair.lengths[0][a]), np.cumsum(pair.lengths[1][b])
     # Both sides have the same bytes in every text, so byte positions agree over all texts.
-    is_end = np.zeros(int(a_ends[-1]) + 1 if len(a) else 1, bool)
-    is_end[b_ends] = True
-    shared_a = np.flatnonzero(is_end[a_ends])
-    is_end[b_ends] = False
-    is_end[a_ends] = True
-    shared_b = np.flatnonzero(is_end[b_ends])
+    shared_a, shared_b = _shared_ends(np.cumsum(pair.lengths[0][a]), np.cumsum(pair.lengths[1][b]))
     text = np.searchsorted(a_at, shared_a, side="right") - 1
     n_groups = np.bincount(text, minlength=len(texts))
     each = np.diff(shared_a, prepend=-1) * np.diff(shared_b, prepend=-1)
     upto, cuts = np.concatenate([[0], np.cumsum(each)]), np.concatenate([[0], np.cumsum(n_groups)])
     anchor = np.append(text[1:] != text[:-1], True)[: len(text)]
     anchor[:-1] |= pair.spaced[0][a[shared_a[:-1] + 1]] & pair.spaced[1][b[shared_b[:-1] + 1]]
-    keys = _window_keys(a, b, shared_a[anchor] + 1, shared_b[anchor] + 1)
-    found = windows.align(keys)
-    ends = np.concatenate([[0], np.cumsum(np.bincount(text[anchor], minlength=len(texts)))])
-    groups = [";".join(map(windows.texts.__getitem__, found[x:y])) for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
-    at, starts = np.array(found, np.int64), np.array(windows.starts)
+    at = windows.align(_window_keys(a, b, shared_a[anchor] + 1, shared_b[anchor] + 1))
+    ends, found = np.concatenate([[0], np.cumsum(np.bincount(text[anchor], minlength=len(texts)))]).tolist(), at.tolist()
+    groups = [";".join(map(windows.texts.__getitem__, found[x:y])) for x, y in zip(ends, ends[1:], strict=False)]
+    starts, kinds = windows.starts, max(len(windows.number), 1)
     size = starts[at + 1] - starts[at]
-    place = np.arange(int(size.sum())) + np.repeat(starts[at] - np.concatenate([[0], np.cumsum(size)])[:-1], size)
-    code = np.repeat(text[anchor], size) * max(len(windows.number), 1) + np.array(windows.pairs, np.int64)[place]
-    order = np.argsort(code, kind="stable")
-    code, links = code[order], np.array(windows.links, np.int64)[place][order]
-    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    code, links = code[first], np.add.reduceat(links, first) if len(first) else links
+    place = np.arange(int(size.sum())) + np.repeat(starts[at] - np.cumsum(size) + size, size)
+    code, links = _added(np.repeat(text[anchor], size) * kinds + windows.pairs[place], windows.links[place])
     figures = [np.diff(a_at), np.diff(b_at), n_groups.astype(np.int64), upto[cuts[1:]] - upto[cuts[:-1]]]
-    return figures, groups, code // max(len(windows.number), 1), code % max(len(windows.number), 1), links
+    return figures, groups, code // kinds, code % kinds, links
 
 
 def align(docs: DataFrame, ranks: str, pattern: str, pieces: str, id_col: str = "doc_id", text: str = "text", with_groups: bool = False) -> DataFrame:
