@@ -18,7 +18,7 @@ from cellweave.session import settle
 SLICE = 1 << 20
 #: Suffixes of a group of prefixes, 40 bytes each, that one task builds a subtree of.
 BUDGET = 1 << 20
-HELD = 1 << 20
+HELD = 1 << 19
 BINS = 1 << 14
 #: Least and most bits of the set of names that scans may skip by; the most are 32 MB.
 SET_BITS = (16, 28)
@@ -170,7 +170,8 @@ def word_counts(docs: DataFrame, lang: str, text: str, seed: int) -> DataFrame:
         yield from _merged(tables(), ["lang", "word", "name"])
 
     counted = _rows(docs, lang, text).mapInArrow(run, "lang string, word string, name long, n long")
-    return counted.groupBy("lang", "word", "name").agg(F.sum("n").alias("n"))
+    # Tasks have added up what they hold, so rows are dealt at once.
+    return counted.repartition("lang", "word", "name").groupBy("lang", "word", "name").agg(F.sum("n").alias("n"))
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -205,7 +206,7 @@ def candidates(docs: DataFrame, lang: str = "lang", text: str = "text", least: i
 
         yield from _merged(tables(), ["first", "second"])
 
-    pairs = _rows(docs, lang, text).mapInArrow(prefixes, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("n"))
+    pairs = _rows(docs, lang, text).mapInArrow(prefixes, "first long, second long, n long").repartition("first", "second").groupBy("first", "second").agg(F.sum("n").alias("n"))
     pairs = settle(pairs.where(F.col("n") >= least))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
