@@ -11,17 +11,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.llm.sets import names_of
 from cellweave.llm.text import LOWER, mix, slices
 from cellweave.operators.sizing import join_small
 from cellweave.session import settle
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Suffixes of a group of prefixes, 40 bytes each, that one task builds a subtree of.
 BUDGET = 1 << 20
-HELD = 1 << 19
+HELD = 1 << 18
 BINS = 1 << 14
-#: Least and most bits of the set of names that scans may skip by; the most are 32 MB.
-SET_BITS = (16, 28)
 BREAK = np.zeros(256, bool)
 BREAK[[46, 44, 59, 58, 33, 63, 10, 11, 12, 13]] = True
 GAP = BREAK.copy()
@@ -63,33 +62,6 @@ class Pieces:
         self.names = self.distinct[inverse]
 
 
-class Names:
-    """A set of names as bits: what is not in it is not among the names, the rest may be."""
-
-    def __init__(self, bits: int, words: np.ndarray, values: np.ndarray):
-        self.mask = U((1 << bits) - 1)
-        self.bits = np.zeros(1 << (bits - 6), U)
-        self.bits[words] = values
-
-    def may_hold(self, names: np.ndarray) -> np.ndarray:
-        at = mix(names) & self.mask
-        return (self.bits[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) != 0
-
-
-def names_of(rows: DataFrame, name: str) -> Names:
-    """The column's names as a set whose size follows their number, 32 MB at most."""
-    n = rows.count()
-    bits = min(max(SET_BITS[0], (16 * n).bit_length()), SET_BITS[1])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = mix(batch.column(0).to_numpy().view(U)) & U((1 << bits) - 1)
-            yield pa.RecordBatch.from_arrays([pa.array((at >> U(6)).astype(np.int64)), pa.array((U(1) << (at & U(63))).view(np.int64))], ["word", "bit"])
-
-    found = rows.select(name).mapInArrow(place, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
-    return Names(bits, found.column("word").to_numpy(), found.column("bit").to_numpy().view(U))
-
-
 def _pair_name(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * U(0x9E3779B97F4A7C15) + (second ^ (second >> U(29))) * U(0xE7037ED1A0B428DB))
 
@@ -111,6 +83,7 @@ def _merged(batches: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.RecordB
             if size > HELD // 2:
                 yield from held.pop().combine_chunks().to_batches()
                 size = 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield from added().combine_chunks().to_batches()
 
