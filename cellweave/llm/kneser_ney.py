@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.ppm import BITS, END, grams
+from cellweave.llm.sets import names_of
 from cellweave.llm.text import Tokens, slices
 from cellweave.operators.sizing import join_small
 from cellweave.session import settle
@@ -17,6 +18,8 @@ from cellweave.session import settle
 ORDER = 4
 TRUSTED_DOCS = 6000
 TRUSTED_BYTES = 32 << 20
+TRUSTED_TEXT_BYTES = 1 << 20
+SLICE = 1 << 20
 SHARDS = 8
 
 
@@ -26,14 +29,21 @@ def _trusted(labels: DataFrame, id_col: str, quality: str, fold: int) -> DataFra
     return ids.where(F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(2)) == fold)
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", quality: str = "quality", max_docs: int = TRUSTED_DOCS, max_bytes: int = TRUSTED_BYTES) -> DataFrame:
-    """(_id, _text) of trusted texts of the first fold, by hash of the id, within both bounds."""
+def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", quality: str = "quality", max_docs: int = TRUSTED_DOCS, max_bytes: int = TRUSTED_BYTES, max_text: int = TRUSTED_TEXT_BYTES) -> DataFrame:
+    """(_id, _text) of trusted texts of the first fold, by hash of the id, within all bounds.
+
+    Texts of over ``max_text`` bytes, or over ``max_bytes``, are left out before the sum, so a
+    long one can't shut out the rest. Raises if that leaves none of the trusted texts.
+    """
     good = _trusted(labels, id_col, quality, 0)
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text")).where("_id IS NOT NULL AND _text <> ''")
     sizes = texts.select("_id", F.octet_length("_text").alias("_size"), F.xxhash64("_id").alias("_at"))
-    drawn = sizes.join(good, "_id", "left_semi").orderBy("_at", "_id", "_size").limit(max_docs)
+    trusted = sizes.join(good, "_id", "left_semi")
+    drawn = trusted.where(F.col("_size") <= min(max_text, max_bytes)).orderBy("_at", "_id", "_size").limit(max_docs)
     upto = F.sum("_size").over(Window.orderBy("_at", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0))
     ids = settle(drawn.withColumn("_upto", upto).where(F.col("_upto") <= max_bytes).select("_id").distinct())
+    if ids.isEmpty() and not trusted.isEmpty():
+        raise ValueError(f"every trusted text exceeds {min(max_text, max_bytes)} bytes")
     return texts.join(F.broadcast(ids), "_id")
 
 
@@ -47,7 +57,7 @@ def train(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text"):
+        for part in slices(batches, "_text", SLICE):
             keys, n = np.unique(grams(Tokens(part.column("_text")), order)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["gram", "n"])
 
@@ -137,19 +147,39 @@ def perplexities(docs: DataFrame, model: DataFrame, keep: list[str], text: str =
     for k in range(shards):
         rows = model.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == k).toPandas()
         parts.append(spark.sparkContext.broadcast(Shard(*(rows[c].to_numpy() for c in ("size", "gram")), *(rows[c].to_numpy(float) for c in ("logp", "backoff")))))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_body"))
-    schema = rows.drop("_body").withColumns({out: F.lit(0.0), f"{out}_symbols": F.lit(0).cast("long")}).schema
+    own = [] if text in keep else [F.col(f"`{text}`").cast("string").alias("_body")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *own)
+    place = keep.index(text) if text in keep else len(keep)
+    body = rows.columns[place]
+    schema = rows.select(*rows.columns[: len(keep)]).withColumns({out: F.lit(0.0), f"{out}_symbols": F.lit(0).cast("long")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_body"):
-            coded, offsets = grams(Tokens(part.column("_body")), order)
+        for part in slices(batches, body, SLICE):
+            coded, offsets = grams(Tokens(part.column(place)), order)
             keys, at = np.unique(coded, return_inverse=True)
             mean = np.add.reduceat(costs(keys, order, parts)[at], offsets[:-1]) / np.diff(offsets)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(np.exp(-mean)), pa.array(np.diff(offsets))], schema.names)
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(np.exp(-mean)), pa.array(np.diff(offsets))], schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
+def among(rows: DataFrame, ids: DataFrame, id_col: str = "_id") -> DataFrame:
+    """The rows whose id may be one of ``ids``; what is left out is surely none of them.
+
+    Ids are told by bits of a set of 32 MB at most, so no text is shuffled to be filtered.
+    """
+    spark = rows.sparkSession
+    names = spark.sparkContext.broadcast(names_of(ids.select(F.xxhash64(id_col).alias("name")), "name"))
+    keyed = rows.select(F.xxhash64(F.col(f"`{id_col}`")).alias("_name"), *rows.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = names.value.may_hold(batch.column(0).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(kept))
+
+    return keyed.mapInArrow(run, rows.schema)
+
+
 def thresholds(scored: DataFrame, quantile: float, slack: float) -> tuple[DataFrame, float | None]:
     """(_of, own) by language from (_lang, perplexity) of trusted texts, and that of all of them."""
     level = F.percentile_approx("perplexity", quantile, 10000) * slack
@@ -190,12 +220,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", quality: str = "quality", quantile: float = 0.98, slack: float = 1.05, evidence: float = 8.0, order: int = ORDER, max_docs: int = TRUSTED_DOCS, max_bytes: int = TRUSTED_BYTES) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps, with all columns.
 
-    All rows are scored once for the thresholds, of which ids and perplexities are left, and
-    once more to be filtered as they stream by, so no text is shuffled or stored.
+    Rows that may be trusted are scored for the thresholds, of which ids and perplexities are
+    left, then all rows, to be filtered as they stream by; no text is shuffled or stored. Null
+    texts, null ids, repeated rows and empty tables are as for ``classify``.
     """
     model, good = fit(docs, labels, id_col, text, quality, order, max_docs, max_bytes)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").alias("_text"))
-    trusted = perplexities(rows, model, ["_id", "_lang"], "_text", order=order).join(good, "_id", "left_semi")
+    trusted = perplexities(among(rows, good), model, ["_id", "_lang"], "_text", order=order).join(good, "_id", "left_semi")
     bounds, overall = thresholds(settle(trusted), quantile, slack)
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
