@@ -14,7 +14,7 @@ from cellweave.session import settle
 
 CHUNK_BYTES = 32 << 20
 ORDER = 5
-HELD = 3_000_000
+HELD = 2_000_000
 SLICE = 1 << 20
 BITS = 9
 END = 257
@@ -74,24 +74,29 @@ def model(counted: DataFrame, order: int) -> DataFrame:
     top = settle(contexts(order + 1))
     seen = nodes[order + 1].withColumn("c", F.shiftright("g", BITS)).join(top, "c")
     out = seen.select(F.col("g").alias("gram"), F.log10((F.col("n") - 0.5) / F.col("t")).alias("cost"))
-    # Grams that training lacks walk down the trie; esc is what the escapes have cost so far.
-    state = counted.where("n = 0").select("gram", F.lit(0.0).alias("esc"), F.lit(None).cast("double").alias("cost"), F.lit(0).cast("long").alias("out_d"), F.lit(0).cast("long").alias("out_x"))
+    # Grams that training lacks walk down the trie; esc is what the escapes have cost so far. What has
+    # its cost leaves the walk. Short contexts and nodes number 258 or 258 squared, so they are broadcast.
+    state = counted.where("n = 0").select("gram", F.lit(0.0).alias("esc"), F.lit(0).cast("long").alias("out_d"), F.lit(0).cast("long").alias("out_x"))
     for size in range(order + 1, 0, -1):
         own = nodes[size].select(F.col("g").alias("_g"), F.col("n").alias("_n"))
         around = (top if size == order + 1 else contexts(size)).select(F.col("c").alias("_c"), "t", "d", "x")
+        own = F.broadcast(own) if size <= 2 else own
+        around = F.broadcast(around) if size <= 3 else around
         keyed = state.withColumn("_g", _tail("gram", size)).withColumn("_c", F.shiftright("_g", BITS))
         met = keyed.join(own, "_g", "left").join(around, "_c", "left")
-        open_, known = F.col("cost").isNull(), F.col("d").isNotNull()
+        known = F.col("d").isNotNull()
         total, kinds = F.col("t") - F.col("out_x"), F.col("d") - F.col("out_d")
-        state = settle(met.select(
+        met = settle(met.select(
             "gram",
-            F.when(open_ & F.col("_n").isNull() & known & (kinds > 0), F.col("esc") + F.log10(kinds / (2 * total))).otherwise(F.col("esc")).alias("esc"),
-            F.when(open_ & F.col("_n").isNotNull(), F.col("esc") + F.log10((F.col("_n") - 0.5) / total)).otherwise(F.col("cost")).alias("cost"),
+            F.when(F.col("_n").isNull() & known & (kinds > 0), F.col("esc") + F.log10(kinds / (2 * total))).otherwise(F.col("esc")).alias("esc"),
+            F.when(F.col("_n").isNotNull(), F.col("esc") + F.log10((F.col("_n") - 0.5) / total)).alias("cost"),
             F.coalesce("d", F.lit(0).cast("long")).alias("out_d"),
             F.coalesce("x", F.lit(0).cast("long")).alias("out_x"),
         ))
+        out = out.unionByName(met.where("cost IS NOT NULL").select("gram", "cost"))
+        state = met.where("cost IS NULL").drop("cost")
     rest = F.greatest(F.lit(END) - F.col("out_d"), F.lit(1))
-    return out.unionByName(state.select("gram", F.coalesce("cost", F.col("esc") - F.log10(rest)).alias("cost")))
+    return out.unionByName(state.select("gram", (F.col("esc") - F.log10(rest)).alias("cost")))
 
 
 def _distinct(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +159,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str =
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], ["key", "n"])
 
-    counted = settle(rows.select("held_out", "_text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    counted = settle(rows.select("held_out", "_text").mapInArrow(count, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n")))
     n_train, kinds = counted.where("key < 0 AND n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     costs = model(counted.where("key >= 0").withColumnRenamed("key", "gram"), order).withColumnRenamed("gram", "key")
     costs = settle(costs.unionByName(counted.where("key < 0").select("key", F.col("n").alias("cost"))).withColumn("cost", F.col("cost").cast("float")))
