@@ -198,6 +198,6 @@ def spec_row(spark, spec: ProductSpec) -> DataFrame:
         F.lit(spec.time_period).cast("string").alias("time_period"),
         F.lit(kind).alias("type"),
         F.lit(float(spec.enc_scale)).alias("scale"),
-        F.lit(float(-spec.enc_offset if spec.encoding == "packed" else spec.enc_offset)).alias("offset"),
+        F.lit(0.0 - spec.enc_offset if spec.encoding == "packed" else float(spec.enc_offset)).alias("offset"),
         F.lit(spec.unit).alias("unit"),
     )

@@ -10,5 +10,6 @@ from cellweave.queries import (  # noqa: F401
     spatial_queries,
     tables,
     transit_queries,
+    whole_products,
 )
 from cellweave.queries.catalog import ORACLES, QUERIES  # noqa: F401

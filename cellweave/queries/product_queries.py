@@ -16,7 +16,8 @@ from cellweave.queries import tables as T
 from cellweave.queries.catalog import VIEWS, even, query
 from cellweave.queries.cells import utm_sql
 from cellweave.queries.registry_queries import palette_sql
-from cellweave.queries.spatial_queries import inverse_grid, mercator_grid, tile_sql
+from cellweave.queries.spatial_queries import inverse_grid, mercator_grid
+from cellweave.queries.tile_twins import moments_sql, packed, tile_moments
 
 WIDTH, HEIGHT = 50, 40
 # Raw values of each product's derived scenes: start and step per unit of quantity.
@@ -58,10 +59,40 @@ def product_obs(spark, d, name: str):
     return rows.groupBy(*keys, "band").agg(F.max(raw).alias("value"))
 
 
+# The products whose images are first chosen by footprint: monthly images, or yearly epochs that span their months.
+BOUNDED = {"land_cover": "month_footprints", "ndvi": "month_footprints", "night_lights": "month_footprints", "elevation_30m": "month_footprints", "population": "epoch_footprints"}
+VIEWS["month_footprints"] = """
+  SELECT image_id, img_ord, -51.9::DOUBLE + 0.1::DOUBLE * (img_ord % 12) AS west, CASE WHEN img_ord % 5 = 0 THEN -31.0::DOUBLE ELSE -30.6::DOUBLE END AS south,
+    -51.7::DOUBLE + 0.1::DOUBLE * (img_ord % 12) AS east, CASE WHEN img_ord % 5 = 0 THEN -30.6::DOUBLE ELSE -29.7::DOUBLE END AS north
+  FROM (SELECT DISTINCT image_id, img_ord FROM obs)"""
+VIEWS["epoch_footprints"] = """
+  SELECT substr(image_id, 1, 4) AS image_id, min(west) AS west, min(south) AS south, max(east) AS east, max(north) AS north FROM month_footprints GROUP BY 1"""
+
+
+def image_meta(spark, d, name: str):
+    """Footprints of a collection's images; None where the product takes one image."""
+    if name not in BOUNDED:
+        return None
+    images = T.obs(spark, d).select("image_id", "img_ord").distinct()
+    shift, low = F.lit(0.1) * (F.col("img_ord") % 12), F.col("img_ord") % 5 == 0
+    images = images.select(
+        "image_id", (F.lit(-51.9) + shift).alias("west"), F.when(low, -31.0).otherwise(-30.6).alias("south"),
+        (F.lit(-51.7) + shift).alias("east"), F.when(low, -30.6).otherwise(-29.7).alias("north"),
+    )
+    if BOUNDED[name] == "month_footprints":
+        return images
+    ends = [F.min("west").alias("west"), F.min("south").alias("south"), F.max("east").alias("east"), F.max("north").alias("north")]
+    return images.groupBy(F.substring("image_id", 1, 4).alias("image_id")).agg(*ends)
+
+
 def composite_sql(name: str) -> str:
     """SQL of the composite (layer, row, col, value) before rescaling."""
     spec = PR.PRODUCTS[name]
     where = "band = 'own'"
+    if name in BOUNDED:
+        west, south, east, north = spec.aoi
+        image = 'year(ts)::VARCHAR' if spec.reducer == "first" else "image_id"
+        where += f" AND {image} IN (SELECT image_id FROM {BOUNDED[name]} WHERE west <= {east} AND east >= {west} AND south <= {north} AND north >= {south})"
     if spec.year:
         where += f" AND ts >= TIMESTAMP '{spec.year}-01-01' AND ts < TIMESTAMP '{spec.year + 1}-01-01'"
     if spec.reducer == "mode":
@@ -97,7 +128,7 @@ def utm_target(meta: GridMeta, scale: float) -> GridMeta:
     edge = [(west + (east - west) * t, y) for t in steps for y in (south, north)] + [(x, south + (north - south) * t) for t in steps for x in (west, east)]
     xs, ys = zip(*[utm_to_mercator(x, y) for x, y in edge])
     ox, oy = math.floor(min(xs) / scale) * scale, math.ceil(max(ys) / scale) * scale
-    return GridMeta(math.ceil((max(xs) - ox) / scale), math.ceil((oy - min(ys)) / scale), scale, scale, ox, oy)
+    return GridMeta(math.ceil((max(xs) - ox) / scale), math.ceil((oy - min(ys)) / scale), scale, scale, ox, oy, "EPSG:3857")
 
 
 def grid_sql(name: str) -> str:
@@ -167,7 +198,7 @@ def register(number: int, name: str) -> None:
     @query(f"p{number:02d}_{name}", product_sql(name))
     def _(spark, d):
         spec = PR.PRODUCTS[name]
-        grid, _ = PR.product_grid(PR.composite(product_obs(spark, d, name), spec), scene_meta(name), spec)
+        grid, _ = PR.product_grid(PR.composite(product_obs(spark, d, name), spec, image_meta(spark, d, name)), scene_meta(name), spec)
         shown = PR.colored(grid, spec)
         return shown.select(
             "layer", "row", "col", round_even(F.col("value"), 6).alias("value"),
@@ -179,32 +210,6 @@ for _number, _name in enumerate(PR.PRODUCTS, start=1):
     register(_number, _name)
 
 
-def product_tiles_sql(name: str, zooms: range) -> str:
-    """SQL of the value tile pixels of a product, by inverse mapping on the Web Mercator plane."""
-    spec, meta = PR.PRODUCTS[name], scene_meta(name)
-    west, south, east, north = spec.aoi
-    grid = mercator_grid(meta.clipped(west, east, south, north), spec.scale)
-    half, parts = 20037508.342789244, []
-    for z in zooms:
-        size = 2 * half / 256 / 2**z
-        w, s, e, n = grid.extent
-        x0, x1, y0, y1 = (int(v / size) for v in (w + half, e + half, half - n, half - s))
-        parts.append(f"""SELECT {z} AS z, gx, gy, -{half!r}::DOUBLE + (gx + 0.5::DOUBLE) * {size!r}::DOUBLE AS mx, {half!r}::DOUBLE - (gy + 0.5::DOUBLE) * {size!r}::DOUBLE AS my
-          FROM (SELECT unnest(range({x0 - 1}, {x1 + 2})) AS gx), (SELECT unnest(range({y0 - 1}, {y1 + 2})) AS gy)""")
-    return f"""{grid_sql(name)}, cells AS (SELECT layer, "row", "col", {cast_sql(spec.dtype)} AS value FROM moved),
-    pix AS ({' UNION ALL '.join(parts)}),
-    hit AS (SELECT p.z, gx // 256 AS x, gy // 256 AS y, c.layer, coalesce(round_even(least(greatest(CASE WHEN c.value IS NOT NULL THEN c.value END, 0), {spec.cap}), 0)::BIGINT, 0) AS n, c.value
-      FROM pix p JOIN cells c ON c."col" = floor((p.mx - ({grid.ox!r}::DOUBLE)) / {grid.sx!r}::DOUBLE)::BIGINT AND c."row" = floor(({grid.oy!r}::DOUBLE - p.my) / {grid.sy!r}::DOUBLE)::BIGINT)
-    SELECT layer, z, x, y, count(*) AS n_px, max(CASE WHEN value IS NULL THEN 0 ELSE n & 255 END)::INTEGER AS max_r FROM hit GROUP BY ALL"""
-
-
-@query("p05_population_value_tiles", product_tiles_sql("population", range(8, 14)))
-def _(spark, d):
-    spec, meta = PR.PRODUCTS["population"], scene_meta("population")
-    made = PR.raster_product(product_obs(spark, d, "population"), meta, spec, z_max=13)
-    return made["value_tiles"].groupBy("layer", "z", "x", "y").agg(F.count("*").alias("n_px"), F.max("r").alias("max_r"))
-
-
 # --- solar -----------------------------------------------------------------------------
 FINE = GridMeta(50, 40, 0.0125, 0.0125, -51.45, -29.80)
 ROUGH = GridMeta(17, 14, 0.0375, 0.0375, -51.45, -29.80)
@@ -280,13 +285,11 @@ def _(spark, d):
 VIEWS["painted"] = f"""SELECT layer, "row", "col", {', '.join(f"{palette_sql('(value / 500)', PR.PRODUCTS['elevation_30m'].palette, i)} AS {n}" for i, n in ((1, 'r'), (2, 'g'), (3, 'b')))} FROM scenes"""
 
 
-@query("g06_visual_tiles", tile_sql("painted", T.SCENE, range(9, 11), "layer, r, g, b"))
-def _(spark, d):
-    scaled = T.scenes(spark, d).withColumn("value", F.col("value") / 500)
-    return PR.product_tiles(scaled, T.SCENE, PR.PRODUCTS["elevation_30m"], "visual", 9, 10)
+VISUAL_SQL = moments_sql("SELECT * FROM painted", "r::BIGINT + g::BIGINT * 256 + b::BIGINT * 65536", T.SCENE)
 
 
-@query("g06_visual_tiles_whole")
+@query("g06_visual_tiles", VISUAL_SQL)
+@query("g06_visual_tiles_whole", VISUAL_SQL)
 def _(spark, d):
     scaled = T.scenes(spark, d).withColumn("value", F.col("value") / 500)
-    return T.tile_digests(PR.product_tiles(scaled, T.SCENE, PR.PRODUCTS["elevation_30m"], "visual", 8, 15))
+    return tile_moments(PR.product_tiles(scaled, T.SCENE, PR.PRODUCTS["elevation_30m"], "visual"), packed())

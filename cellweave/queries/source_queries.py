@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import struct
-
-import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -16,7 +12,8 @@ from cellweave.operators import nested as NE
 from cellweave.plans import transit as TR
 from cellweave.queries import tables as T
 from cellweave.queries.catalog import even, query
-from cellweave.queries.spatial_queries import settlements, tile_sql
+from cellweave.queries.spatial_queries import CENTS_SQL, settlements
+from cellweave.queries.tile_twins import tile_moments
 from cellweave.session import scratch_path
 from cellweave.sources import rasters as RS
 from cellweave.sources import readers as RD
@@ -88,35 +85,16 @@ def _(spark, d):
     return flat.select(F.col("localidade_id").alias("number"), code.alias("class_id"), F.col("serie")["2010"].alias("text"))
 
 
-def tiff_bytes(width: int, height: int, values: np.ndarray) -> bytes:
-    """An uncompressed single-strip float32 raster at the scenes' position."""
-    head = 8 + 2 + 12 * 8 + 4
-    scale, tie = struct.pack("<3d", 0.0025, 0.0025, 0.0), struct.pack("<6d", 0, 0, 0, -51.40, -29.88, 0)
-    data_at = head + len(scale) + len(tie)
-    entries = [
-        (256, 4, 1, width), (257, 4, 1, height), (258, 3, 1, 32), (259, 3, 1, 1), (273, 4, 1, data_at), (339, 3, 1, 3),
-        (33550, 12, 3, head), (33922, 12, 6, head + len(scale)),
-    ]
-    directory = struct.pack("<H", len(entries)) + b"".join(struct.pack("<HHII", *e) for e in entries) + struct.pack("<I", 0)
-    return b"II*\0" + struct.pack("<I", 8) + directory + scale + tie + values.astype("<f4").tobytes()
-
-
-def encode_scene(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One scene of 64 x 64 cells as file bytes; absent cells are nodata."""
-    cells = np.full((64, 64), -9999.0)
-    cells[pdf["row"], pdf["col"]] = pdf["value"].to_numpy()
-    return pd.DataFrame({"path": [f"/{pdf['layer'].iloc[0]}.tif"], "content": [tiff_bytes(64, 64, cells)]})
-
-
 @query(
     "src04_decode_rasters",
-    """SELECT l.layer, r AS "row", c AS "col", s.value::FLOAT::DOUBLE AS value, 64 AS width, 64 AS height, 0.0025::DOUBLE AS sx, 0.0025::DOUBLE AS sy, -51.40::DOUBLE AS ox, -29.88::DOUBLE AS oy
-    FROM (SELECT DISTINCT layer FROM scenes) l, (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c) LEFT JOIN scenes s ON s.layer = l.layer AND s."row" = r AND s."col" = c""",
+    """SELECT layer, "row", "col", value, 64 AS width, 64 AS height, 0.0025::DOUBLE AS sx, 0.0025::DOUBLE AS sy, -51.40::DOUBLE AS ox, -29.88::DOUBLE AS oy FROM scenes""",
 )
 def _(spark, d):
-    # A scene holds at most 64 x 64 cells, so a group is bounded by construction.
-    files = T.scene_raw(spark, d).groupBy("layer").applyInPandas(encode_scene, "path STRING, content BINARY")
-    return RS.decode_rasters(files)
+    path = scratch_path(spark, "rasters")
+    cells = T.scene_raw(spark, d)
+    place = {"width": 64, "height": 64, "sx": 0.0025, "sy": 0.0025, "ox": -51.40, "oy": -29.88}
+    RS.write_rasters(cells, cells.select("layer").distinct().withColumns({k: F.lit(v) for k, v in place.items()}), path)
+    return RS.read_rasters(spark, path)
 
 
 def obs_store(spark, d):
@@ -126,12 +104,7 @@ def obs_store(spark, d):
     return path
 
 
-@query("src05_image_collection", """SELECT layer, "row", "col", image_id, value FROM obs WHERE band = 'A' AND ts >= TIMESTAMP '2023-01-01' AND ts < TIMESTAMP '2024-01-01'""")
-def _(spark, d):
-    stored = RD.image_collection(spark, obs_store(spark, d))
-    return stored.where((F.col("band") == "A") & (F.col("year") == 2023)).select("layer", "row", "col", "image_id", "value")
-
-
+@query("src05_image_collection", 'SELECT layer, band, "year"(ts)::INTEGER AS year, "row", "col", image_id, value FROM obs')
 @query("src05_image_collection_whole", 'SELECT layer, band, "year"(ts)::INTEGER AS year, "row", "col", image_id, value FROM obs')
 def _(spark, d):
     """All bands and years."""
@@ -157,7 +130,7 @@ def _(spark, d):
 
 @query("src08_read_registry", "SELECT dataset_id, license, 'scale' || k AS unit, k / 8.0::DOUBLE AS scale, ['https://example.org/' || k] AS urls, CASE WHEN k % 3 = 0 THEN 2 END AS n_classes FROM ds")
 def _(spark, d):
-    path = scratch_path(spark, "registry")
+    path = scratch_path(spark, "registry") + ".jsonl"
     k = F.col("k")
     url = F.concat(F.lit("https://example.org/"), k)
     # Every second entry gives its url as a list, the others as text.
@@ -168,9 +141,8 @@ def _(spark, d):
         F.lit('{"dataset_id":"'), "dataset_id", F.lit('"'), license_, F.lit(',"value_encoding":{"scale":'), (k / 8).cast("string"),
         F.lit(',"unit":"scale'), k, F.lit('"'), classes, F.lit('},"assets":'), assets, F.lit("}"),
     )
-    files = T.datasets(spark, d).groupBy(F.expr("k div 100").alias("file")).agg(F.concat(F.lit('{"datasets":['), F.array_join(F.collect_list(entry), ","), F.lit("]}")).alias("value"))
-    files.repartition("file").write.partitionBy("file").text(path)
-    rows = RG.read_registry(spark, f"{path}/*/*.txt", "datasets")
+    T.datasets(spark, d).select(entry.alias("value")).write.text(path)
+    rows = RG.read_registry(spark, path, "datasets")
     return rows.select(
         "dataset_id", "license", F.col("value_encoding.unit").alias("unit"), F.col("value_encoding.scale").alias("scale"),
         F.col("assets")["download"]["cog_url"].alias("urls"), F.when(F.col("classes").isNotNull(), F.size("classes")).alias("n_classes"),
@@ -220,20 +192,21 @@ def _(spark, d):
     return rows.select("properties.stop_id", F.col("geometry.coordinates")[0].alias("stop_lon"), "properties.stop_code")
 
 
-@query("snk02_feature_document", "SELECT count(*) AS n_lines FROM (SELECT stop_id FROM stops WHERE stop_lon IS NOT NULL UNION ALL SELECT 'head' UNION ALL SELECT 'tail')")
+@query("snk02_feature_document", """SELECT CASE WHEN row_number() OVER (ORDER BY stop_id) > 1 THEN ',' ELSE '' END AS mark, 'Feature' AS type, stop_id, coalesce(stop_name, '') AS stop_name, stop_code, stop_lon, stop_lat FROM stops WHERE stop_lon IS NOT NULL
+  UNION ALL SELECT '{"type":"FeatureCollection","features":[', NULL, NULL, NULL, NULL, NULL, NULL UNION ALL SELECT ']}', NULL, NULL, NULL, NULL, NULL, NULL""")
 def _(spark, d):
+    """Every line of the document: its opening and end, and each feature with the comma before it."""
     path = scratch_path(spark, "document")
     SK.write_feature_collection(NE.to_feature_collection(TR.stop_features(T.stops(spark, d)), "stop_id"), path)
-    return spark.read.text(path).agg(F.count("*").alias("n_lines"))
-
-
-@query("snk03_write_pixels", """SELECT layer, "row", "col", value FROM scenes WHERE "row" < 20""")
-def _(spark, d):
-    path = scratch_path(spark, "pixels")
-    SK.write_pixels(T.scenes(spark, d), path)
-    return spark.read.parquet(path).where("row < 20").select("layer", "row", "col", "value")
+    lines = spark.read.text(path)
+    body = F.regexp_extract("value", '^,?(\\{"type":"Feature",.*)$', 1)
+    schema = "type STRING, geometry STRUCT<coordinates: ARRAY<DOUBLE>>, properties STRUCT<stop_id: STRING, stop_name: STRING, stop_code: STRING>"
+    parsed = lines.select(F.when(body == "", F.col("value")).when(F.col("value").startswith(","), F.lit(",")).otherwise(F.lit("")).alias("mark"), F.from_json(body, schema).alias("f"))
+    place = F.col("f.geometry.coordinates")
+    return parsed.select("mark", "f.type", "f.properties.*", place[0].alias("stop_lon"), place[1].alias("stop_lat"))
 
 
+@query("snk03_write_pixels", """SELECT layer, "row", "col", value FROM scenes""")
 @query("snk03_write_pixels_whole", """SELECT layer, "row", "col", value FROM scenes""")
 def _(spark, d):
     path = scratch_path(spark, "pixels")
@@ -241,17 +214,16 @@ def _(spark, d):
     return spark.read.parquet(path).select("layer", "row", "col", "value")
 
 
-@query("snk04_write_overviews", """SELECT layer, "row" >> 1 AS "row", "col" >> 1 AS "col", value FROM scenes WHERE "row" % 2 = 0 AND "col" % 2 = 0""")
-def _(spark, d):
-    path = scratch_path(spark, "overviews")
-    SK.write_overviews(OG.overviews(T.scenes(spark, d), "nearest", 2), path)
-    return spark.read.parquet(path).where("level = 1").select("layer", "row", "col", "value")
+def pyramid_sql(how: str, levels: int) -> str:
+    """SQL of all levels of the scenes' pyramid."""
+    if how == "nearest":
+        return " UNION ALL ".join(f"""SELECT layer, {k} AS level, "row" >> {k} AS "row", "col" >> {k} AS "col", value FROM scenes WHERE "row" % {2**k} = 0 AND "col" % {2**k} = 0""" for k in range(levels + 1))
+    steps = ", ".join(f"""l{k} AS (SELECT layer, "row" // 2 AS "row", "col" // 2 AS "col", avg(value) AS value FROM l{k - 1} GROUP BY ALL)""" for k in range(1, levels + 1))
+    return f"""WITH l0 AS (SELECT layer, "row", "col", floor(value) AS value FROM scenes), {steps} """ + " UNION ALL ".join(f"""SELECT layer, {k} AS level, "row", "col", {even("value", 3)} AS value FROM l{k}""" for k in range(levels + 1))
 
 
-@query(
-    "snk04_write_overviews_whole",
-    " UNION ALL ".join(f"""SELECT layer, {k} AS level, "row" >> {k} AS "row", "col" >> {k} AS "col", value FROM scenes WHERE "row" % {2**k} = 0 AND "col" % {2**k} = 0""" for k in range(3)),
-)
+@query("snk04_write_overviews", pyramid_sql("nearest", 2))
+@query("snk04_write_overviews_whole", pyramid_sql("nearest", 2))
 def _(spark, d):
     """All levels written."""
     path = scratch_path(spark, "overviews")
@@ -259,23 +231,24 @@ def _(spark, d):
     return spark.read.parquet(path).select("layer", "level", "row", "col", "value")
 
 
-@query("snk05_write_tiles", f"SELECT layer, x, y, count(*) AS n_px, max(value) AS top FROM ({tile_sql('scenes', T.SCENE, range(11, 12), 'layer, value')}) GROUP BY ALL")
+@query("snk04_write_overviews_average", pyramid_sql("average", 5))
 def _(spark, d):
-    path = scratch_path(spark, "tiles")
-    SK.write_tiles(OG.tile(T.scenes(spark, d), T.SCENE, 8, 11), path)
-    tiles = spark.read.parquet(path).where("z = 11")
-    return tiles.groupBy("layer", "x", "y").agg(F.count("*").alias("n_px"), F.max("value").alias("top"))
+    """All levels of an averaged pyramid."""
+    path = scratch_path(spark, "averages")
+    whole = T.scenes(spark, d).withColumn("value", F.floor("value").cast("double"))
+    SK.write_overviews(OG.overviews(whole, "average", 5), path)
+    return spark.read.parquet(path).select("layer", "level", "row", "col", round_even(F.col("value"), 3).alias("value"))
 
 
-@query("snk05_write_tiles_whole")
+@query("snk05_write_tiles", CENTS_SQL)
+@query("snk05_write_tiles_whole", CENTS_SQL)
 def _(spark, d):
-    """Every tile of every zoom written, as a digest of its pixels; SQL is too slow for the last zooms."""
     path = scratch_path(spark, "tiles")
     SK.write_tiles(OG.tile(T.scenes(spark, d), T.SCENE, 8, 15), path)
-    return T.tile_digests(spark.read.parquet(path))
+    return tile_moments(spark.read.parquet(path), F.round(F.col("value") * 100).cast("bigint"))
 
 
-@query("snk06_write_metadata", "SELECT 'S' || p_partkey % 10 AS layer, count(*) AS n FROM part GROUP BY 1")
+@query("snk06_write_metadata", """SELECT 'S' || p_partkey % 10 AS layer, '{"layer":"S' || p_partkey % 10 || '","description":"' || p_name || '","time_period":"2024","encoding":{"type":"terrain_rgb","scale":0.1,"offset":0.0,"unit":"m","decode_formula":"value = (R * 256 * 256 + G * 256 + B) * scale + offset"}}' AS document FROM part""")
 def _(spark, d):
     path = scratch_path(spark, "metadata")
     rows = T.read(spark, d, "part").select(
@@ -283,7 +256,7 @@ def _(spark, d):
         F.lit(0.1).alias("scale"), F.lit(0.0).alias("offset"), F.lit("m").alias("unit"),
     )
     SK.write_metadata(NE.layer_metadata(rows), path)
-    return spark.read.text(path).groupBy("layer").agg(F.count("*").alias("n"))
+    return spark.read.text(path).select("layer", F.col("value").alias("document"))
 
 
 @query("snk07_publish", "SELECT n_nationkey, n_name, true AS refused FROM nation JOIN customer ON c_nationkey = n_nationkey")
@@ -300,9 +273,10 @@ def _(spark, d):
     return spark.read.parquet(path).withColumn("refused", F.lit(refused))
 
 
-@query("snk08_idempotent_output", """SELECT layer, count(*) AS n FROM scenes GROUP BY layer""")
+@query("snk08_idempotent_output", """SELECT layer, "row", "col", value FROM scenes""")
 def _(spark, d):
+    """What is there after the same pixels have been written twice: each once."""
     path = scratch_path(spark, "again")
     for _ in range(2):
         SK.write_pixels(T.scenes(spark, d), path)
-    return spark.read.parquet(path).groupBy("layer").agg(F.count("*").alias("n"))
+    return spark.read.parquet(path).select("layer", "row", "col", "value")

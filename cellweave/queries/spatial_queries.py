@@ -14,6 +14,7 @@ from cellweave.operators import spatial as S
 from cellweave.operators import surface as SF
 from cellweave.queries import tables as T
 from cellweave.queries.catalog import VIEWS, even, query
+from cellweave.queries.tile_twins import moments_sql, packed, tile_moments
 
 
 # --- points and polygons ---------------------------------------------------------------
@@ -304,52 +305,26 @@ def _(spark, d):
     return OG.export_window(T.scenes(spark, d), T.SCENE, REGION, "EPSG:3857", 250)[0].select("layer", "row", "col", "value")
 
 
-def tile_sql(view: str, meta: GridMeta, zooms: range, columns: str) -> str:
-    """SQL of nearest tile pixels by inverse mapping of every tile pixel that may meet the raster."""
-    half = 20037508.342789244
-    west, south, east, north = meta.extent
-    parts = []
-    for z in zooms:
-        size = 2 * half / 256 / 2**z
-        g = mercator_grid(meta, 1.0)
-        x0, x1 = int((g.ox + half) / size) - 1, int((g.ox + g.width + half) / size) + 1
-        y0, y1 = int((half - g.oy) / size) - 1, int((half - g.oy + g.height) / size) + 1
-        parts.append(f"""SELECT {z} AS z, gx, gy, degrees((-{half!r}::DOUBLE + (gx + 0.5::DOUBLE) * {size!r}::DOUBLE) / {R}) AS lon,
-          degrees(2 * atan(exp(({half!r}::DOUBLE - (gy + 0.5::DOUBLE) * {size!r}::DOUBLE) / {R})) - pi() / 2) AS lat
-          FROM (SELECT unnest(range({x0}, {x1 + 1})) AS gx), (SELECT unnest(range({y0}, {y1 + 1})) AS gy)""")
-    return f"""WITH t AS ({' UNION ALL '.join(parts)})
-    SELECT z, gx // 256 AS x, gy // 256 AS y, (gx % 256)::INTEGER AS px, (gy % 256)::INTEGER AS py, {columns} FROM t JOIN {view} s
-      ON s."col" = floor((t.lon - ({meta.ox!r}::DOUBLE)) / {meta.sx!r}::DOUBLE)::BIGINT
-     AND s."row" = floor(({meta.oy!r}::DOUBLE - t.lat) / {meta.sy!r}::DOUBLE)::BIGINT"""
-
-
-@query("g05_tile", tile_sql("scenes", T.SCENE, range(8, 12), "layer, value"))
-def _(spark, d):
-    return OG.tile(T.scenes(spark, d), T.SCENE, 8, 11)
+CENTS_SQL = moments_sql("SELECT * FROM scenes", "round(value * 100)::BIGINT", T.SCENE)
 
 
-@query("g05_tile_whole")
+@query("g05_tile", CENTS_SQL)
+@query("g05_tile_whole", CENTS_SQL)
 def _(spark, d):
-    """Zooms 8 to 15, each tile as a digest of its pixels; SQL is too slow for the last ones."""
-    return T.tile_digests(OG.tile(T.scenes(spark, d), T.SCENE, 8, 15))
+    return tile_moments(OG.tile(T.scenes(spark, d), T.SCENE, 8, 15), F.round(F.col("value") * 100).cast("bigint"))
 
 
 VIEWS["packed_cells"] = """SELECT layer, "row", "col", (n & 255)::INTEGER AS r, ((n >> 8) & 255)::INTEGER AS g, ((n >> 16) & 255)::INTEGER AS b
   FROM (SELECT *, CASE WHEN value IS NULL THEN 0 ELSE round_even(least(greatest(value, 0), 16777215), 0)::BIGINT END AS n FROM scenes)"""
+VALUE_SQL = moments_sql("SELECT * FROM packed_cells", "r::BIGINT + g::BIGINT * 256 + b::BIGINT * 65536", T.SCENE)
 
 
-@query("g06_value_tiles", tile_sql("packed_cells", T.SCENE, range(10, 12), "layer, r, g, b"))
-def _(spark, d):
-    from cellweave.plans.products import PRODUCTS, product_tiles
-
-    return product_tiles(T.scenes(spark, d), T.SCENE, PRODUCTS["population"], "value", 10, 11)
-
-
-@query("g06_value_tiles_whole")
+@query("g06_value_tiles", VALUE_SQL)
+@query("g06_value_tiles_whole", VALUE_SQL)
 def _(spark, d):
     from cellweave.plans.products import PRODUCTS, product_tiles
 
-    return T.tile_digests(product_tiles(T.scenes(spark, d), T.SCENE, PRODUCTS["population"], "value", 8, 15))
+    return tile_moments(product_tiles(T.scenes(spark, d), T.SCENE, PRODUCTS["population"], "value"), packed())
 
 
 @query(

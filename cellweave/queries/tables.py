@@ -405,9 +405,3 @@ def lut_pixels(spark: SparkSession, d: str) -> DataFrame:
         k.alias("k"), F.concat(F.lit("T"), F.expr("o_custkey div 15")).alias("lut_id"),
         F.when(k % 97 != 0, F.when(k % 31 == 0, F.lit(25000.0) * (k % 19)).otherwise(F.col("o_totalprice") - 5000)).alias("value"),
     )
-
-
-def tile_digests(tiles: DataFrame) -> DataFrame:
-    """(layer, z, x, y, n_px, digest): each tile as the count and a hash of all its pixels."""
-    rest = sorted(set(tiles.columns) - {"layer", "z", "x", "y"})
-    return tiles.groupBy("layer", "z", "x", "y").agg(F.count("*").alias("n_px"), F.bit_xor(F.xxhash64(*rest)).alias("digest"))

@@ -1,92 +1,42 @@
-"""Raster files as pixel tables."""
+"""Rasters as Parquet pixel tables with a table of their georeferencing beside them."""
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions.numeric import mask_nodata
+from cellweave.operators.sizing import join_small
 from cellweave.sources.readers import read_or
+from cellweave.sources.sinks import write_pixels
 
-# TIFF field numbers and type layouts of the format description.
-WIDTH, HEIGHT, COMPRESSION, STRIP_OFFSETS, PIXEL_SCALE, TIE_POINT = 256, 257, 259, 273, 33550, 33922
-FIELD_TYPES = {3: "H", 4: "I", 12: "d"}
-
+META = ("width", "height", "sx", "sy", "ox", "oy")
 RASTER = (
     "layer STRING, row INT, col INT, value DOUBLE, width INT, height INT, "
     "sx DOUBLE, sy DOUBLE, ox DOUBLE, oy DOUBLE"
 )
-ROWS_PER_BATCH = 64
-
 
-def _fields(data: bytes) -> tuple[str, dict[int, tuple]]:
-    order = "<" if data[:2] == b"II" else ">"
-    (start,) = struct.unpack_from(order + "I", data, 4)
-    (count,) = struct.unpack_from(order + "H", data, start)
-    found = {}
-    for at in range(start + 2, start + 2 + 12 * count, 12):
-        tag, kind, n = struct.unpack_from(order + "HHI", data, at)
-        if kind in FIELD_TYPES:
-            layout = f"{order}{n}{FIELD_TYPES[kind]}"
-            where = at + 8 if struct.calcsize(layout) <= 4 else struct.unpack_from(order + "I", data, at + 8)[0]
-            found[tag] = struct.unpack_from(layout, data, where)
-    return order, found
 
+def write_rasters(pixels: DataFrame, meta: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Pixels (layer, row, col, value) in blocks, and one georeferencing row per layer."""
+    write_pixels(pixels, f"{path}/pixels", mode)
+    meta.select("layer", *META).write.mode(mode).parquet(f"{path}/meta")
 
-def _pixel_batches(name: str, data: bytes, nodata: float | None) -> Iterator[pd.DataFrame]:
-    order, f = _fields(data)
-    width, height = f[WIDTH][0], f[HEIGHT][0]
-    if f.get(COMPRESSION, (1,))[0] != 1 or len(f[STRIP_OFFSETS]) != 1:
-        raise ValueError(f"{name}: only uncompressed single-strip float32 rasters are read")
-    values = np.frombuffer(data, dtype=order + "f4", count=width * height, offset=f[STRIP_OFFSETS][0])
-    for top in range(0, height, ROWS_PER_BATCH):
-        rows = min(ROWS_PER_BATCH, height - top)
-        cells = values[top * width : (top + rows) * width].astype("float64")
-        if nodata is not None:
-            cells[cells == nodata] = np.nan
-        yield pd.DataFrame(
-            {
-                "layer": name,
-                "row": np.repeat(np.arange(top, top + rows), width).astype("int32"),
-                "col": np.tile(np.arange(width), rows).astype("int32"),
-                "value": cells,
-                "width": width, "height": height,
-                "sx": f[PIXEL_SCALE][0], "sy": f[PIXEL_SCALE][1], "ox": f[TIE_POINT][3], "oy": f[TIE_POINT][4],
-            }
-        )
 
+def read_rasters(spark: SparkSession, path: str, nodata: float | None = -9999.0, on_missing: str = "fail") -> DataFrame:
+    """Pixels with their layer's georeferencing; NaN and nodata cells come out NULL.
 
-def decode_rasters(files: DataFrame, nodata: float | None = -9999.0) -> DataFrame:
-    """Pixels and georeferencing of (path, content) rows, emitted in row bands.
-
-    The layer is the file name's stem. NaN and nodata cells come out NULL.
+    Spark splits the pixel table by rows, so a raster of any size is read by many tasks.
     """
 
-    def explode_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for file_path, content in zip(batch["path"], batch["content"]):
-                stem = file_path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-                yield from _pixel_batches(stem, bytes(content), nodata)
-
-    pixels = files.select("path", "content").mapInPandas(explode_files, RASTER)
-    return pixels.withColumn("value", mask_nodata(F.col("value"), nodata))
-
-
-def read_rasters(spark: SparkSession, path: str, nodata: float | None = -9999.0, on_missing: str = "fail") -> DataFrame:
-    """Raster files of a folder or glob; larger rasters arrive as Parquet pixel tables."""
-
     def read() -> DataFrame:
-        return decode_rasters(spark.read.format("binaryFile").load(path), nodata)
+        pixels, meta = spark.read.parquet(f"{path}/pixels"), spark.read.parquet(f"{path}/meta")
+        joined = join_small(pixels, meta, "layer").select("layer", "row", "col", "value", *META)
+        return joined.withColumn("value", mask_nodata(F.col("value"), nodata))
 
     return read_or(spark, read, RASTER, on_missing)
 
 
-def split_meta(raster: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_meta(pixels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pixel table and one georeferencing row per layer."""
-    meta = raster.groupBy("layer").agg(*[F.first(c).alias(c) for c in ("width", "height", "sx", "sy", "ox", "oy")])
-    return raster.select("layer", "row", "col", "value"), meta
+    return pixels.select("layer", "row", "col", "value"), pixels.select("layer", *META).distinct()

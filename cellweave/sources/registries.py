@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,26 +37,5 @@ def registry_rows(entries: DataFrame, kind: str, text: str = "value") -> DataFra
 
 
 def read_registry(spark: SparkSession, path: str, kind: str, on_missing: str = "fail") -> DataFrame:
-    """A registry from YAML files (any glob) or from JSON lines (``*.json``, ``*.jsonl``).
-
-    YAML files are parsed one per task; entries become rows at once.
-    """
-
-    def read() -> DataFrame:
-        if path.endswith((".json", ".jsonl")):
-            return registry_rows(spark.read.text(path), kind)
-        files = spark.read.format("binaryFile").load(path).select("content")
-
-        def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            import yaml
-
-            loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-            for batch in batches:
-                for content in batch["content"]:
-                    document = yaml.load(bytes(content), Loader=loader) or {}
-                    lines = [json.dumps(entry, default=str) for entry in document.get(kind) or []]
-                    yield pd.DataFrame({"value": pd.Series(lines, dtype=str)})
-
-        return registry_rows(files.mapInPandas(parse, "value STRING"), kind)
-
-    return read_or(spark, read, KINDS[kind], on_missing)
+    """A registry from JSON lines, one entry a line; Spark splits the files by lines."""
+    return read_or(spark, lambda: registry_rows(spark.read.text(path), kind), KINDS[kind], on_missing)

@@ -2,14 +2,12 @@
 
 import json
 
-import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cellweave.functions.grid import GridMeta
 from cellweave.plans import products as PR
-from cellweave.queries.source_queries import tiff_bytes
 from cellweave.session import scratch_path
 from cellweave.sources import rasters, readers, registries, sinks
 
@@ -29,10 +27,11 @@ def test_feed_ids_stay_text_and_columns_match_by_name(spark, tmp_path):
     assert [(r.stop_id, r.stop_lat, r.stop_code) for r in rows] == [("007", -30.1, None), ("8", None, None)]
 
 
-def test_raster_files(spark, tmp_path):
-    values = np.arange(12, dtype=float).reshape(3, 4)
-    values[0, 0], values[1, 1] = np.nan, -9999.0
-    (tmp_path / "GHI.tif").write_bytes(tiff_bytes(4, 3, values))
+def test_raster_tables(spark, tmp_path):
+    cells = [("GHI", r, c, float(4 * r + c)) for r in range(3) for c in range(4)]
+    cells[0], cells[5] = ("GHI", 0, 0, float("nan")), ("GHI", 1, 1, -9999.0)
+    place = spark.createDataFrame([("GHI", 4, 3, 0.0025, 0.0025, -51.40, -29.88)], "layer string, width int, height int, sx double, sy double, ox double, oy double")
+    rasters.write_rasters(spark.createDataFrame(cells, "layer string, row int, col int, value double"), place, str(tmp_path))
     pixels, meta = rasters.split_meta(rasters.read_rasters(spark, str(tmp_path)))
     assert pixels.count() == 12 and pixels.where("value is null").count() == 2
     assert pixels.where("row = 2 and col = 3").first().value == 11.0
@@ -48,18 +47,20 @@ def test_colour_table_files(spark, tmp_path):
     ]
 
 
-def test_registry_yaml(spark, tmp_path):
-    (tmp_path / "datasets.yaml").write_text(
-        "datasets:\n  - dataset_id: a\n    resolution: 30m\n    value_encoding: {type: class_lookup, classes: {0: {name: Water, color: '#62B0CC'}}}\n"
-        "    assets:\n      download: {cog_url: https://example.org/a.tif}\n      metadata: {url: []}\n"
-        "  - dataset_id: b\n    assets: {download: {cog_url: [https://example.org/b.tif, https://example.org/c.tif]}}\n"
-    )
-    (tmp_path / "layers.yaml").write_text("layers:\n  - {layer_id: l, analytical_level: 2, source_datasets: [], dependencies: [a, b]}\n")
-    rows = {r.dataset_id: r for r in registries.read_registry(spark, str(tmp_path / "datasets.yaml"), "datasets").collect()}
+def test_registry_lines(spark, tmp_path):
+    entries = [
+        {"dataset_id": "a", "resolution": "30m", "value_encoding": {"type": "class_lookup", "classes": {"0": {"name": "Water", "color": "#62B0CC"}}},
+         "assets": {"download": {"cog_url": "https://example.org/a.tif"}, "metadata": {"url": []}}},
+        {"dataset_id": "b", "assets": {"download": {"cog_url": ["https://example.org/b.tif", "https://example.org/c.tif"]}}},
+    ]
+    (tmp_path / "datasets.jsonl").write_text("\n".join(map(json.dumps, entries)))
+    (tmp_path / "layers.jsonl").write_text(json.dumps({"layer_id": "l", "analytical_level": 2, "source_datasets": [], "dependencies": ["a", "b"]}))
+    rows = {r.dataset_id: r for r in registries.read_registry(spark, str(tmp_path / "datasets.jsonl"), "datasets").collect()}
     assert rows["a"].assets == {"download": {"cog_url": ["https://example.org/a.tif"]}, "metadata": {"url": []}}
     assert rows["a"].classes[0].color == "#62B0CC" and len(rows["b"].assets["download"]["cog_url"]) == 2
-    layer = registries.read_registry(spark, str(tmp_path / "layers.yaml"), "layers").first()
+    layer = registries.read_registry(spark, str(tmp_path / "layers.jsonl"), "layers").first()
     assert layer.dependencies == ["a", "b"] and layer.analytical_level == 2
+    assert registries.read_registry(spark, str(tmp_path / "none.jsonl"), "layers", on_missing="empty").count() == 0
 
 
 def test_geojson_document(spark, tmp_path):

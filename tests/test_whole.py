@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import grid as OG
+from cellweave.operators.filters import filter_bounds
 from cellweave.operators.grid import GridMeta
 from cellweave.queries import QUERIES
 
@@ -32,6 +33,18 @@ def test_tiles_of_all_zooms(spark):
     assert got == want and {k[0] for k in want} >= set(range(12, 16))
 
 
+def test_footprints_prune_partitions_at_run_time(spark, tmp_path):
+    """Images stored by id: the footprints' side decides which of their folders are read."""
+    rows = [(f"i{k}", r, float(k)) for k in range(20) for r in range(50)]
+    spark.createDataFrame(rows, "image_id string, row int, value double").write.partitionBy("image_id").parquet(str(tmp_path / "obs"))
+    meta = [(f"i{k}", float(k), 0.0, k + 0.5, 1.0) for k in range(20)]
+    spark.createDataFrame(meta, "image_id string, west double, south double, east double, north double").write.parquet(str(tmp_path / "meta"))
+    obs, images = spark.read.parquet(str(tmp_path / "obs")), spark.read.parquet(str(tmp_path / "meta"))
+    kept = filter_bounds(obs, images, (3.2, 0.2, 5.1, 0.8))
+    assert {r.image_id for r in kept.select("image_id").distinct().collect()} == {"i3", "i4", "i5"} and kept.count() == 150
+    assert "dynamicpruning" in kept._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("name", ["g05_tile_whole", "snk05_write_tiles_whole"])
 def test_queries_return_all_zooms(spark, name):
     assert {r.z for r in QUERIES[name](spark, FOLDER).select("z").distinct().collect()} == set(range(8, 16))
