@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.operators.joins import dangling_refs
 from cellweave.operators.nested import explode_assets
 from cellweave.operators.sizing import join_small
-from cellweave.session import cut_lineage
+from cellweave.session import cut_lineage, settle
 
 # Required fields and permitted values of the registries.
 DATASET_FIELDS = (
@@ -113,20 +113,41 @@ def closure(edges: DataFrame, start: DataFrame, from_col: str, to_col: str) -> D
     return known
 
 
+def numbered(names: DataFrame, name: str = "name") -> DataFrame:
+    """(name, number): a number for each distinct name, written once so that all readers see the same."""
+    return settle(names.select(F.col(name).alias("name")).where("name IS NOT NULL").distinct().withColumn("number", F.monotonically_increasing_id()))
+
+
+def numbered_edges(edges: DataFrame, from_col: str, to_col: str) -> tuple[DataFrame, DataFrame]:
+    """The edges as distinct pairs (node, reached) of numbers, and the numbers' names."""
+    ends = edges.select(F.col(from_col).alias("name")).unionByName(edges.select(F.col(to_col).alias("name")))
+    nodes = numbered(ends)
+    node, reached = nodes.toDF("_from", "node"), nodes.toDF("_to", "reached")
+    pairs = edges.select(F.col(from_col).alias("_from"), F.col(to_col).alias("_to")).join(node, "_from").join(reached, "_to")
+    return pairs.select("node", "reached").distinct(), nodes
+
+
 def full_closure(edges: DataFrame, from_col: str, to_col: str) -> DataFrame:
     """(node, reached) pairs from every node.
 
-    Known pairs are composed with themselves, so the distance covered doubles each
-    round and the rounds grow with the logarithm of the longest path.
+    Pairs carry their distance, and nodes are numbers. After a round all pairs of up to
+    2^k steps are known; a pair of up to twice as many is one of exactly 2^k followed by a
+    known one, so only pairs of that distance are joined, each pair is found from few
+    others and the rounds grow with the logarithm of the longest distance.
     """
-    known = cut_lineage(edges.select(F.col(from_col).alias("node"), F.col(to_col).alias("reached")).distinct())
+    pairs, nodes = numbered_edges(edges, from_col, to_col)
+    known = settle(pairs.withColumn("steps", F.lit(1).cast("bigint")))
+    reach = 1
     while True:
-        onward = known.select(F.col("node").alias("reached"), F.col("reached").alias("_far"))
-        longer = known.join(onward, "reached").select("node", F.col("_far").alias("reached")).distinct()
-        new = cut_lineage(longer.join(known, ["node", "reached"], "left_anti"))
+        edge_of_known = known.where(F.col("steps") == reach).select("node", F.col("reached").alias("_mid"))
+        onward = known.select(F.col("node").alias("_mid"), "reached", "steps")
+        longer = edge_of_known.join(onward, "_mid").groupBy("node", "reached").agg((F.min("steps") + reach).alias("steps"))
+        new = settle(longer.join(known.select("node", "reached"), ["node", "reached"], "left_anti"))
         if new.isEmpty():
-            return known
-        known = known.unionByName(new)
+            break
+        known, reach = known.unionByName(new), 2 * reach
+    named = known.join(nodes.toDF("_node", "node"), "node").join(nodes.toDF("_reached", "reached"), "reached")
+    return named.select(F.col("_node").alias("node"), F.col("_reached").alias("reached"))
 
 
 def lineage(layers: DataFrame, start: DataFrame | None = None, direction: str = "up") -> DataFrame:
@@ -149,23 +170,32 @@ def impact(layers: DataFrame, dataset_id: str) -> DataFrame:
 def build_order(layers: DataFrame) -> DataFrame:
     """(layer_id, depth): 0 without upstream layers, else one more than the deepest of them.
 
-    Layers on or behind a cycle never become ready and come out with depth NULL.
+    Pairs of layers that a chain of exactly 1, 2, 4, ... steps joins are found by joining
+    each such relation with itself, until there is none. The longest chain that ends at a
+    layer is then put together from the largest power down: a layer takes the greatest
+    depth a pair leads to. Both go by the logarithm of the depth. Chains as long as there
+    are layers only exist on cycles, so layers that such a chain reaches, on or behind a
+    cycle, come out with depth NULL.
     """
-    ids = cut_lineage(layers.select("layer_id").distinct())
-    edges = cut_lineage(join_small(layer_edges(layers), ids.select(F.col("layer_id").alias("upstream")), "upstream"))
-    waiting, ready, depth = ids, [], 0
-    while True:
-        blocked = edges.join(waiting.select(F.col("layer_id").alias("upstream")), "upstream", "left_semi")
-        free = cut_lineage(waiting.join(blocked.select("layer_id").distinct(), "layer_id", "left_anti"))
-        if free.isEmpty():
+    ids = numbered(layers, "layer_id")
+    upstream, own = ids.toDF("upstream", "node"), ids.toDF("layer_id", "reached")
+    steps = [settle(layer_edges(layers).join(upstream, "upstream").join(own, "layer_id").select("node", "reached").distinct())]
+    count, endless = ids.count(), None
+    while not steps[-1].isEmpty():
+        if 2 ** (len(steps) - 1) >= count:
+            endless = steps.pop().select(F.col("reached").alias("number")).distinct()
             break
-        ready.append(free.withColumn("depth", F.lit(depth)))
-        waiting = cut_lineage(waiting.join(free, "layer_id", "left_anti"))
-        depth += 1
-    result = waiting.withColumn("depth", F.lit(None).cast("int"))
-    for part in ready:
-        result = result.unionByName(part)
-    return result
+        onward = steps[-1].toDF("_mid", "reached")
+        steps.append(settle(steps[-1].toDF("node", "_mid").join(onward, "_mid").select("node", "reached").distinct()))
+    depths = ids.select("number", F.lit(0).cast("int").alias("depth"))
+    if endless is not None:
+        depths = depths.join(endless, "number", "left_anti")
+    for k in range(len(steps) - 1, -1, -1):
+        longer = steps[k].join(depths, F.col("node") == F.col("number")).select(F.col("reached").alias("number"), (F.col("depth") + 2**k).alias("depth"))
+        if endless is not None:
+            longer = longer.join(endless, "number", "left_anti")
+        depths = settle(depths.unionByName(longer).groupBy("number").agg(F.max("depth").alias("depth")))
+    return ids.join(depths, "number", "left").select(F.col("name").alias("layer_id"), "depth")
 
 
 def level_monotonicity(layers: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import geometry as G
 from cellweave.functions.numeric import ratio, round_even
-from cellweave.operators.sizing import BROADCAST_BYTES, join_small
+from cellweave.operators.sizing import BROADCAST_BYTES, join_small, small_side
 from cellweave.session import settle
 
 LEVEL_BASE = 4.0
@@ -17,11 +17,17 @@ LOWEST_LEVEL, HIGHEST_LEVEL = -20, 20
 # Each step makes bins four times finer: more points are settled by their bin alone, at
 # the price of more bins to build. Worth raising for few polygons and very many points.
 FINENESS = 1
-SALTS = 32
+# A bin with more edges is split in 4 x 4; points of a bin beyond HOT_POINTS are dealt over as many
+# salts as they are multiples of it.
+MAX_EDGES = 64
+SPLIT = 4
+FINEST = 1e-6
+HOT_POINTS = 200_000
 # Margins around an edge within which rounding may decide, and the height below which
 # the small constant of the ray test moves its crossing noticeably.
 EDGE_SLACK = 1 + 1e-6
 FLAT_EDGE = 1e-9
+COORDINATE_SLACK = 1e-12
 
 
 def _bin_size(level: Column) -> Column:
@@ -54,7 +60,8 @@ def _near(e: Column, x: Column, y: Column, half: Column) -> Column:
         | (F.greatest(e["yi"], e["yj"]) < y - half) | (F.least(e["yi"], e["yj"]) > y + half)
     )
     offset = F.abs(dx * (y - e["yi"]) - dy * (x - e["xi"]))
-    flat = F.abs(dy) < FLAT_EDGE
+    # A level edge is never crossed; one that is nearly level may be, far from where it lies.
+    flat = (F.abs(dy) < FLAT_EDGE) & (dy != 0)
     one_side = offset > (F.abs(dx) + F.abs(dy)) * half * EDGE_SLACK
     return flat & (F.greatest(e["yi"], e["yj"]) >= y - half) & (F.least(e["yi"], e["yj"]) <= y + half) | ~(apart | one_side)
 
@@ -72,11 +79,21 @@ def _binned(boxed: DataFrame, keep: Sequence[str], exact: bool) -> DataFrame:
     bands = bands.repartition("_by", F.col("_box"))
     if not exact:
         return bands.select(*keep, "_box", "_level", "_by", F.explode(_span("_box.min_x", "_box.max_x")).alias("_bx"))
+    return _cells(bands, keep, "_rings", _span("_box.min_x", "_box.max_x"))
+
+
+def _cells(bands: DataFrame, keep: Sequence[str], rings: str, across: Column) -> DataFrame:
+    """Bins of the columns ``across`` in each band (_level, _by), from edges by ring that its points' rays can meet.
+
+    ``rings`` holds closed rings of vertices, or the edges that a coarser bin has kept of each.
+    """
+    size = _bin_size(F.col("_level"))
     low, high = F.col("_by") * size, (F.col("_by") + 1) * size
+    edges_of = G.ring_edges if rings == "_rings" else (lambda edges: edges)
     in_band = F.transform(
-        F.col("_rings"),
+        F.col(rings),
         lambda r: F.filter(
-            G.ring_edges(r),
+            edges_of(r),
             lambda e: (F.greatest(e["yi"], e["yj"]) >= low) & (F.least(e["yi"], e["yj"]) <= high),
         ),
     )
@@ -93,24 +110,80 @@ def _binned(boxed: DataFrame, keep: Sequence[str], exact: bool) -> DataFrame:
     def resolved(b: Column) -> Column:
         x = center_x(b["bx"])
         center = F.exists(F.col("_band"), lambda edges: G.inside_edges(x, y, edges))
-        ahead = F.transform(
-            F.col("_band"),
-            lambda edges: F.filter(
-                edges,
-                lambda e: (F.greatest(e["xi"], e["xj"]) >= x - half * EDGE_SLACK) | (F.abs(e["yj"] - e["yi"]) < FLAT_EDGE),
-            ),
-        )
+
+        def near(e: Column) -> Column:
+            """Whether rays of the bin's points may cross the edge, or it parts the bin; edges wholly beyond are not near."""
+            dy = F.abs(e["yj"] - e["yi"])
+            right = F.greatest(e["xi"], e["xj"]) >= x - half * EDGE_SLACK
+            level = right & (F.least(e["xi"], e["xj"]) <= x + half * EDGE_SLACK)
+            return F.when(dy == 0, level).otherwise((right | (dy < FLAT_EDGE)) & ~beyond(e))
+
+        def beyond(e: Column) -> Column:
+            """Whether all of the edge lies to the right of the bin, clear of rounding."""
+            nearest, dy = F.least(e["xi"], e["xj"]), F.abs(e["yj"] - e["yi"])
+            return (nearest > x + half * EDGE_SLACK + F.abs(nearest) * COORDINATE_SLACK) & ((dy >= FLAT_EDGE) | (dy == 0))
+
+        def passes(e: Column) -> Column:
+            return (F.least(e["yi"], e["yj"]) <= low) & (F.greatest(e["yi"], e["yj"]) >= high)
+
+        def meets(e: Column) -> Column:
+            return (F.least(e["yi"], e["yj"]) < high) & (F.greatest(e["yi"], e["yj"]) >= low) & (e["yi"] != e["yj"])
+
+        def kept_edges(edges: Column) -> Column:
+            # Beyond the bin a ray crosses a chain of edges an odd number of times if and only if the chain's
+            # ends lie on either side of it, so an upright edge between their heights stands for the chain. Of
+            # those that pass the whole band only whether their number is odd matters.
+            none = F.array(F.lit(None).cast(G.EDGE))
+            before = F.concat(none, F.slice(edges, F.lit(1), F.greatest(F.size(edges) - 1, F.lit(0))))
+            after = F.concat(F.slice(edges, F.lit(2), F.greatest(F.size(edges) - 1, F.lit(0))), none)
+
+            def linked(first: Column, then: Column) -> Column:
+                return F.coalesce(beyond(first) & beyond(then) & (first["xi"] == then["xj"]) & (first["yi"] == then["yj"]), F.lit(False))
+
+            firsts = F.filter(F.zip_with(edges, before, lambda e, o: F.struct(e.alias("e"), o.alias("o"))), lambda s: beyond(s["e"]) & ~linked(s["o"], s["e"]))
+            lasts = F.filter(F.zip_with(edges, after, lambda e, o: F.struct(e.alias("e"), o.alias("o"))), lambda s: beyond(s["e"]) & ~linked(s["e"], s["o"]))
+            upright = F.zip_with(firsts, lasts, lambda s, t: F.struct(
+                s["e"]["xj"].alias("xi"), t["e"]["yi"].alias("yi"), s["e"]["xj"].alias("xj"), s["e"]["yj"].alias("yj")))
+            ends = F.filter(upright, lambda e: meets(e) & ~passes(e))
+            crossed = F.filter(upright, passes)
+            one = F.filter(F.slice(crossed, F.lit(1), F.lit(1)), lambda _: F.size(crossed) % 2 == 1)
+            return F.concat(F.filter(edges, near), ends, one)
+
         return F.struct(
-            b["bx"].alias("_bx"), (~b["touched"] & center).alias("_whole"), F.when(b["touched"], ahead).alias("_edges")
+            b["bx"].alias("_bx"), (~b["touched"] & center).alias("_whole"), F.when(b["touched"], F.transform(F.col("_band"), kept_edges)).alias("_edges")
         )
 
-    row = F.transform(F.transform(_span("_box.min_x", "_box.max_x"), classified), resolved)
+    row = F.transform(F.transform(across, classified), resolved)
     kept = F.filter(row, lambda b: b["_whole"] | b["_edges"].isNotNull())
     return bands.withColumn("_band", in_band).select(*keep, "_box", "_level", "_by", F.inline(kept))
 
 
-def _measure(boxed: DataFrame, keep: Sequence[str] = ()) -> tuple[list[int], float]:
-    """Grid levels in use and an upper bound of the binned bytes, in one pass."""
+def _refined(bins: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The bins, those of over MAX_EDGES edges split in SPLIT x SPLIT until none is left.
+
+    A quadtree by rounds: each writes its bins once and splits the full ones further, down
+    to FINEST of the polygon's extent, where only edges that meet in a point can be too
+    many. Bins that no edge touches are not split, so their number follows the boundary.
+    """
+    done, columns = None, [*keep, "_box", "_level", "_by", "_bx", "_whole", "_edges"]
+    extent = F.greatest(F.col("_box.max_x") - F.col("_box.min_x"), F.col("_box.max_y") - F.col("_box.min_y"))
+    coarse = (F.col("_level") > LOWEST_LEVEL) & (_bin_size(F.col("_level")) > extent * FINEST)
+    full = F.coalesce(coarse & (F.size(F.flatten("_edges")) > MAX_EDGES), F.lit(False))
+    while True:
+        cut = settle(bins.select(*columns).withColumn("_full", full))
+        kept, todo = cut.where("NOT _full").drop("_full"), cut.where("_full").drop("_full")
+        done = kept if done is None else done.unionByName(kept)
+        if todo.isEmpty():
+            return done
+        finer = todo.select(
+            *keep, "_box", (F.col("_level") - 1).alias("_level"), (F.col("_bx") * SPLIT).alias("_left"), "_edges",
+            F.explode(F.transform(F.sequence(F.lit(0), F.lit(SPLIT - 1)), lambda j: F.col("_by") * SPLIT + j)).alias("_by"),
+        ).repartition("_by", "_left", F.col("_box"))
+        bins = _cells(finer, keep, "_edges", F.sequence(F.col("_left"), F.col("_left") + (SPLIT - 1)))
+
+
+def _measure(boxed: DataFrame, keep: Sequence[str] = ()) -> tuple[list[int], float, int]:
+    """Grid levels in use, an upper bound of the binned bytes and the most edges of a polygon, in one pass."""
     size = _bin_size(F.col("_level"))
     nx = F.floor(F.col("_box.max_x") / size) - F.floor(F.col("_box.min_x") / size) + 1
     ny = F.floor(F.col("_box.max_y") / size) - F.floor(F.col("_box.min_y") / size) + 1
@@ -122,16 +195,36 @@ def _measure(boxed: DataFrame, keep: Sequence[str] = ()) -> tuple[list[int], flo
     # Each bin carries the kept columns.
     carried = F.octet_length(F.to_json(F.struct(*keep))) if keep else F.lit(0)
     copies = F.aggregate(edges, F.lit(0).cast("bigint"), lambda total, e: total + bands(e))
-    levels, weight = boxed.agg(F.collect_set("_level"), F.sum(nx * (ny * (carried + 256.0) + copies * 32.0))).first()
+    levels, weight, most = boxed.agg(F.collect_set("_level"), F.sum(nx * (ny * (carried + 256.0) + copies * 32.0)), F.max(F.size(edges))).first()
+    return sorted(levels) or [0], float(weight or 0.0), most or 0
+
+
+def _measure_bins(bins: DataFrame, keep: Sequence[str]) -> tuple[list[int], float]:
+    """Levels and bytes of refined bins."""
+    carried = F.octet_length(F.to_json(F.struct(*keep))) if keep else F.lit(0)
+    edges = F.coalesce(F.size(F.flatten("_edges")), F.lit(0))
+    levels, weight = bins.agg(F.collect_set("_level"), F.sum(carried + 256.0 + F.greatest(edges, F.lit(0)) * 32.0)).first()
     return sorted(levels) or [0], float(weight or 0.0)
 
 
+def _hot_bins(points: DataFrame, levels: Sequence[int], px: Column, py: Column) -> DataFrame:
+    """(_hlevel, _hx, _hy, _salts) of bins that over HOT_POINTS points meet: few, whatever the number of points."""
+    level = F.explode(F.array(*[F.lit(v) for v in levels]))
+    placed = points.select(px.alias("_x"), py.alias("_y")).select("_x", "_y", level.alias("_hlevel"))
+    size = _bin_size(F.col("_hlevel"))
+    counted = placed.groupBy("_hlevel", F.floor(F.col("_x") / size).alias("_hx"), F.floor(F.col("_y") / size).alias("_hy")).agg(F.count(F.lit(1)).alias("_n"))
+    return settle(counted.where(F.col("_n") > HOT_POINTS).select("_hlevel", "_hx", "_hy", F.ceil(F.col("_n") / HOT_POINTS).alias("_salts")))
+
+
 def _grid_join(
     points: DataFrame, polygons: DataFrame, keep: Sequence[str], x: str, y: str, how: str, exact: bool
 ) -> DataFrame:
     boxed = _boxed(polygons, keep)
-    levels, weight = _measure(boxed, keep)
+    levels, weight, most = _measure(boxed, keep)
     bins = _binned(boxed, keep, exact)
+    if exact and most > MAX_EDGES:
+        bins = _refined(bins, keep)
+        levels, weight = _measure_bins(bins, keep)
     broadcast = weight <= BROADCAST_BYTES
     px, py = F.col(x), F.col(y)
     test = (
@@ -143,9 +236,12 @@ def _grid_join(
 
     salted = not broadcast
     if salted:
-        # Points are dealt over SALTS tasks by their place, so equal points part too; the far smaller bins are copied.
-        bins = bins.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        points = points.withColumn("_psalt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        # Only bins that very many points meet are copied; their points are dealt over the copies by their place.
+        hot = small_side(_hot_bins(points, levels, px, py), settled=True)
+        same = (F.col("_level") == F.col("_hlevel")) & (F.col("_bx") == F.col("_hx")) & (F.col("_by") == F.col("_hy"))
+        copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
+        bins = bins.join(hot, same, "left").withColumn("_salt", F.explode(copies)).drop("_hlevel", "_hx", "_hy", "_salts")
+        points = points.withColumn("_place", F.monotonically_increasing_id())
     bins = F.broadcast(bins) if broadcast else bins
 
     def probe(rows: DataFrame, level: Column, some_bins: DataFrame, kind: str) -> DataFrame:
@@ -158,10 +254,13 @@ def _grid_join(
             (F.col("_plevel") == F.col("_level")) & (F.col("_px") == F.col("_bx")) & (F.col("_py") == F.col("_by"))
         )
         if salted:
+            met = (F.col("_plevel") == F.col("_hlevel")) & (F.col("_px") == F.col("_hx")) & (F.col("_py") == F.col("_hy"))
+            dealt = F.pmod(F.col("_place"), F.coalesce("_salts", F.lit(1)))
+            keyed = keyed.join(hot, met, "left").withColumn("_psalt", dealt).drop("_hlevel", "_hx", "_hy", "_salts")
             on = on & (F.col("_psalt") == F.col("_salt"))
-        return keyed.join(some_bins, on & test, kind).drop("_plevel", "_px", "_py")
+        return keyed.join(some_bins, on & test, kind).drop("_plevel", "_px", "_py", "_psalt")
 
-    own = ["_psalt"] if salted else []
+    own = ["_place"] if salted else []
     if how == "inner":
         spread = F.explode(F.array(*[F.lit(v) for v in levels])) if len(levels) > 1 else F.lit(levels[0])
         found = probe(points, spread, bins, "inner")
