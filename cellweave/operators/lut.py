@@ -10,6 +10,8 @@ from pyspark.sql.window import Window as W
 
 from cellweave.functions.color import color_linear, decode_rgb, rgb_to_hex
 from cellweave.operators.sizing import join_small
+from cellweave.session import settle
+
 
 def lut_spans(lut: DataFrame) -> DataFrame:
     """Half-open spans [_from, _to) of each table (_lut), with the entries that bound them.
@@ -32,14 +34,34 @@ def lut_spans(lut: DataFrame) -> DataFrame:
     return spans.drop("_before").unionByName(below)
 
 
+def _bucket(v: Column) -> Column:
+    """The slice of a table's range that holds the value: -1 below its first entry, ``_count`` from its last one on."""
+    inside = F.least(F.floor((v - F.col("_first")) / F.col("_width")), F.col("_count"))
+    return F.when(v < F.col("_first"), F.lit(-1).cast("bigint")).when(v >= F.col("_last"), F.col("_count")).otherwise(inside)
+
+
 def _spanned(pixels: DataFrame, lut: DataFrame, v: Column) -> DataFrame:
-    """``pixels`` with the span that holds the value; a missing value has none."""
+    """``pixels`` with the span that holds the value; a missing value has none.
+
+    A table's range is cut into as many equal slices as it has entries. A span stands in
+    each slice it meets, together at most two a entry, and a pixel is joined by table and
+    slice, so it meets the spans of one slice and the pixels of one table spread over
+    slices where the join is shuffled.
+    """
+    spans = settle(lut_spans(lut))
+    ranges = spans.groupBy("_lut").agg(F.min("_to").alias("_first"), F.max("_from").alias("_last"), F.count(F.lit(1)).alias("_count"))
+    ranges = settle(ranges.withColumn("_width", F.when(F.col("_last") > F.col("_first"), (F.col("_last") - F.col("_first")) / F.col("_count")).otherwise(F.lit(1.0))))
+    least = F.when(F.col("_from").isNull(), F.lit(-1).cast("bigint")).otherwise(_bucket(F.col("_from")))
+    most = F.when(F.col("_to").isNull(), F.col("_count")).otherwise(_bucket(F.col("_to")))
+    sliced = spans.join(ranges, "_lut").withColumn("_slice", F.explode(F.sequence(least, most))).select("_lut", "_slice", "_from", "_to", "_lo", "_at", "_hi")
+    placed = join_small(pixels, ranges.withColumnRenamed("_lut", "_table"), pixels["lut_id"] == F.col("_table"), "left", settled=True)
     low = F.col("_from").isNull() | (v >= F.col("_from"))
     high = F.col("_to").isNull() | (v < F.col("_to"))
-    return join_small(pixels, lut_spans(lut), (pixels["lut_id"] == F.col("_lut")) & v.isNotNull() & low & high, "left")
+    placed = placed.withColumn("_place", F.when(v.isNotNull(), _bucket(v))).drop("_table", "_first", "_last", "_count", "_width")
+    return join_small(placed, settle(sliced), (F.col("lut_id") == F.col("_lut")) & (F.col("_place") == F.col("_slice")) & low & high, "left", settled=True)
 
 
-SPAN = ("_lut", "_from", "_to", "_lo", "_at", "_hi")
+SPAN = ("_lut", "_slice", "_place", "_from", "_to", "_lo", "_at", "_hi")
 
 
 def _upper(v: Column) -> Column:
