@@ -228,11 +228,12 @@ def wide_links(prints: DataFrame, width: int, radius: int, agree: float = AGREE,
     """Edges (a, b) that connect ``prints`` (node, f0..) that differ in at most ``radius`` bits.
 
     Prints that agree on some sample of bits are compared on all. The samples lengthen
-    with the logarithm of the number of prints, and there are so many that a pair whose
+    with the logarithm of the number of prints, so that chance puts about as many into a
+    group as a tile of bit planes compares at once, and there are so many that a pair whose
     share of equal bits is ``agree`` is missed in 1 of 100 cases at most.
     """
     bits, rng = 64 * width, np.random.default_rng(seed)
-    length = max(12, ceil(log2(max(prints.count(), 1) / 8 + 1)))
+    length = max(12, ceil(log2(max(prints.count(), 1) / 64 + 1)))
     keys = []
     for _ in range(ceil(log(0.01) / log(1 - agree**length))):
         drawn = rng.choice(bits, length, replace=False).tolist()
