@@ -199,3 +199,24 @@ def test_tokens_split_like_the_pattern():
     at = iter(keep)
     assert tokens.joined(keep).to_pylist() == [" ".join(w for w in ws if next(at)) for ws in want]
     assert tokens.cut(np.ones(len(tokens), bool)).to_pylist() == [t or "" for t in texts]
+
+
+def test_long_trusted_texts_leave_the_sample_before_its_sum(spark):
+    """Whatever its place in hash order, a long text shuts out none of the others."""
+    rows = [(k, "plain words of a trusted text " * 3) for k in range(60)] + [(k, "y" * 3000) for k in range(60, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    sample = kneser_ney.trusted_sample(docs, labels, max_bytes=2000, max_text=1000)
+    got = sample.collect()
+    assert 0 < len(got) <= 2000 // 90 and all(r._id < 60 for r in got)
+    with pytest.raises(ValueError):
+        kneser_ney.trusted_sample(docs.where("doc_id >= 60"), labels, max_bytes=5000, max_text=1000)
+    assert kneser_ney.trusted_sample(docs, labels.where("quality = 0")).count() == 0
+
+
+def test_rows_that_may_be_among_ids(spark):
+    docs = spark.createDataFrame([(k, f"t{k}") for k in range(500)] + [(None, "n")], "_id long, _text string")
+    ids = docs.where("_id % 7 = 0").select("_id")
+    kept = {r._id for r in kneser_ney.among(docs, ids).collect()}
+    assert kept >= set(range(0, 500, 7)) and len(kept) < 120
+    assert kneser_ney.among(docs.limit(0), ids).count() == 0
