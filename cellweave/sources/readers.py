@@ -61,16 +61,21 @@ def read_or(spark: SparkSession, read, schema: str | T.StructType, on_missing: s
         return spark.createDataFrame([], schema)
 
 
-def read_gtfs(spark: SparkSession, folder: str, table: str, on_missing: str = "fail", line_breaks: bool = True) -> DataFrame:
+def read_gtfs(spark: SparkSession, folder: str, table: str, on_missing: str = "fail", line_breaks: bool | None = None) -> DataFrame:
     """A feed table; columns are matched by header name, so order and extras do not matter.
 
-    Quotes inside a field are doubled. ``line_breaks`` allows breaks inside quoted fields;
-    without it a large file is split over tasks.
+    Quotes inside a field are doubled. A file is split over tasks unless a quoted field
+    holds a line break: then some line has an odd number of quotes, which a split scan of
+    the lines finds. ``line_breaks`` tells it beforehand and spares the scan.
     """
     schema = T.StructType.fromDDL(GTFS[table])
 
     def read() -> DataFrame:
-        raw = spark.read.options(header=True, quote='"', escape='"', multiLine=line_breaks).csv(f"{folder}/{table}.txt")
+        path, broken = f"{folder}/{table}.txt", line_breaks
+        if broken is None:
+            quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+            broken = not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+        raw = spark.read.options(header=True, quote='"', escape='"', multiLine=broken).csv(path)
         present = set(raw.columns)
         columns = []
         for field in schema:

@@ -5,7 +5,6 @@ import pytest
 
 import __spark_entry__ as contract
 
-# Products whose area the few cells of the smallest scale don't reach, and a report of faults that it does not have.
 #: A report of faults that the tables don't have, and tile sets of over 10^8 pixels, run at the scale whose cells they miss.
 LARGE = [f"{p}_{kind}_tiles" for p in ("p03_night_lights", "p07_urbanisation") for kind in ("visual", "value")]
 EMPTY = ["j13_unmatched", *LARGE]

@@ -27,6 +27,21 @@ def test_feed_ids_stay_text_and_columns_match_by_name(spark, tmp_path):
     assert [(r.stop_id, r.stop_lat, r.stop_code) for r in rows] == [("007", -30.1, None), ("8", None, None)]
 
 
+def test_feed_files_split_unless_a_field_holds_a_line_break(spark, tmp_path):
+    plain = "stop_id,stop_name\n" + "".join(f'{k},"name ""{k}"""\n' for k in range(3000))
+    (tmp_path / "stops.txt").write_text(plain)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = readers.read_gtfs(spark, str(tmp_path), "stops")
+        assert rows.count() == 3000 and rows.rdd.getNumPartitions() > 1 and rows.where("stop_id = '7'").first().stop_name == 'name "7"'
+        (tmp_path / "stops.txt").write_text(plain + '3000,"two\nlines"\n')
+        spark.catalog.clearCache()
+        rows = readers.read_gtfs(spark, str(tmp_path), "stops")
+        assert rows.count() == 3001 and rows.where("stop_id = '3000'").first().stop_name == "two\nlines"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_raster_tables(spark, tmp_path):
     cells = [("GHI", r, c, float(4 * r + c)) for r in range(3) for c in range(4)]
     cells[0], cells[5] = ("GHI", 0, 0, float("nan")), ("GHI", 1, 1, -9999.0)
