@@ -137,11 +137,14 @@ def costs(keys: np.ndarray, order: int, shards: list) -> np.ndarray:
     return total
 
 
-def perplexities(docs: DataFrame, model: DataFrame, keep: list[str], text: str = "text", out: str = "perplexity", order: int = ORDER, shards: int = SHARDS) -> DataFrame:
+def perplexities(docs: DataFrame, model: DataFrame, keep: list[str], text: str = "text", out: str = "perplexity", order: int = ORDER, shards: int = SHARDS, ids: DataFrame | None = None) -> DataFrame:
     """``keep`` columns, the perplexity (per byte, the end included) of every row as ``out`` and its ``<out>_symbols``.
 
     The model's size is bounded by the trusted sample; it is dealt into ``shards`` and each
     is broadcast. A task joins the distinct grams of a slice with one shard after another.
+    Given ``ids``, one column, only rows are scored whose first kept column may be one of
+    them; what is left out surely is none. They are told by bits of a set of 32 MB at most,
+    inside the same task, so no text is shuffled to be filtered.
     """
     spark, parts = docs.sparkSession, []
     for k in range(shards):
@@ -151,10 +154,18 @@ def perplexities(docs: DataFrame, model: DataFrame, keep: list[str], text: str =
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *own)
     place = keep.index(text) if text in keep else len(keep)
     body = rows.columns[place]
+    names = None
+    if ids is not None:
+        names = spark.sparkContext.broadcast(names_of(ids.select(F.xxhash64(ids.columns[0]).alias("name")), "name"))
+        rows = rows.withColumn("_name", F.xxhash64(F.col(f"`{keep[0]}`")))
     schema = rows.select(*rows.columns[: len(keep)]).withColumns({out: F.lit(0.0), f"{out}_symbols": F.lit(0).cast("long")}).schema
 
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch if names is None else batch.filter(pa.array(names.value.may_hold(batch.column("_name").to_numpy().view(np.uint64))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, body, SLICE):
+        for part in slices(wanted(batches), body, SLICE):
             coded, offsets = grams(Tokens(part.column(place)), order)
             keys, at = np.unique(coded, return_inverse=True)
             mean = np.add.reduceat(costs(keys, order, parts)[at], offsets[:-1]) / np.diff(offsets)
@@ -163,23 +174,6 @@ def perplexities(docs: DataFrame, model: DataFrame, keep: list[str], text: str =
     return rows.mapInArrow(run, schema)
 
 
-def among(rows: DataFrame, ids: DataFrame, id_col: str = "_id") -> DataFrame:
-    """The rows whose id may be one of ``ids``; what is left out is surely none of them.
-
-    Ids are told by bits of a set of 32 MB at most, so no text is shuffled to be filtered.
-    """
-    spark = rows.sparkSession
-    names = spark.sparkContext.broadcast(names_of(ids.select(F.xxhash64(id_col).alias("name")), "name"))
-    keyed = rows.select(F.xxhash64(F.col(f"`{id_col}`")).alias("_name"), *rows.columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = names.value.may_hold(batch.column(0).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(kept))
-
-    return keyed.mapInArrow(run, rows.schema)
-
-
 def thresholds(scored: DataFrame, quantile: float, slack: float) -> tuple[DataFrame, float | None]:
     """(_of, own) by language from (_lang, perplexity) of trusted texts, and that of all of them."""
     level = F.percentile_approx("perplexity", quantile, 10000) * slack
@@ -226,7 +220,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     """
     model, good = fit(docs, labels, id_col, text, quality, order, max_docs, max_bytes)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").alias("_text"))
-    trusted = perplexities(among(rows, good), model, ["_id", "_lang"], "_text", order=order).join(good, "_id", "left_semi")
+    trusted = perplexities(rows, model, ["_id", "_lang"], "_text", order=order, ids=good).join(good, "_id", "left_semi")
     bounds, overall = thresholds(settle(trusted), quantile, slack)
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)

@@ -214,9 +214,11 @@ def test_long_trusted_texts_leave_the_sample_before_its_sum(spark):
     assert kneser_ney.trusted_sample(docs, labels.where("quality = 0")).count() == 0
 
 
-def test_rows_that_may_be_among_ids(spark):
+def test_only_rows_that_may_be_among_ids_are_scored(spark):
     docs = spark.createDataFrame([(k, f"t{k}") for k in range(500)] + [(None, "n")], "_id long, _text string")
     ids = docs.where("_id % 7 = 0").select("_id")
-    kept = {r._id for r in kneser_ney.among(docs, ids).collect()}
-    assert kept >= set(range(0, 500, 7)) and len(kept) < 120
-    assert kneser_ney.among(docs.limit(0), ids).count() == 0
+    model = kneser_ney.train(docs)
+    whole = {r._id: r.perplexity for r in kneser_ney.perplexities(docs, model, ["_id"], "_text").collect()}
+    some = {r._id: r.perplexity for r in kneser_ney.perplexities(docs, model, ["_id"], "_text", ids=ids).collect()}
+    assert set(some) >= set(range(0, 500, 7)) and len(some) < 120 and all(whole[k] == v for k, v in some.items())
+    assert kneser_ney.perplexities(docs.limit(0), model, ["_id"], "_text", ids=ids).count() == 0
