@@ -210,6 +210,16 @@ def read_lut(spark: SparkSession, path: str, on_missing: str = "fail") -> DataFr
     return read_or(spark, read, LUT, on_missing)
 
 
+def read_lut_lines(spark: SparkSession, path: str, on_missing: str = "fail") -> DataFrame:
+    """Many colour tables in shared files, each line with its table's id and a tab before it."""
+
+    def read() -> DataFrame:
+        parts = F.split(F.col("value"), "\t", 2)
+        return parse_lut(spark.read.text(path).select(parts[0].alias("lut_id"), parts[1].alias("value")))
+
+    return read_or(spark, read, LUT, on_missing)
+
+
 def read_metadata(spark: SparkSession, path: str, on_missing: str = "fail", lines: bool = False) -> DataFrame:
     """Layer metadata: one document per file, or one per line."""
 
