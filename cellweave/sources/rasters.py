@@ -23,16 +23,27 @@ def write_rasters(pixels: DataFrame, meta: DataFrame, path: str, mode: str = "ov
     meta.select("layer", *META).write.mode(mode).parquet(f"{path}/meta")
 
 
-def read_rasters(spark: SparkSession, path: str, nodata: float | None = -9999.0, on_missing: str = "fail") -> DataFrame:
+def every_cell(pixels: DataFrame, meta: DataFrame) -> DataFrame:
+    """Pixels of all cells of each raster's width and height, NULL where the table has none."""
+    rows = meta.where("width > 0 AND height > 0").withColumn("row", F.explode(F.expr("sequence(0L, cast(height as bigint) - 1)")))
+    grid = rows.repartition("layer", "row").withColumn("col", F.explode(F.expr("sequence(0L, cast(width as bigint) - 1)")))
+    return grid.join(pixels, ["layer", "row", "col"], "left").select("layer", "row", "col", "value", *META)
+
+
+def read_rasters(
+    spark: SparkSession, path: str, nodata: float | None = -9999.0, on_missing: str = "fail", whole: bool = False
+) -> DataFrame:
     """Pixels with their layer's georeferencing; NaN and nodata cells come out NULL.
 
+    With ``whole`` cells that the table lacks come out too, as NULL.
+
     Spark splits the pixel table by rows, so a raster of any size is read by many tasks.
     """
 
     def read() -> DataFrame:
         pixels, meta = spark.read.parquet(f"{path}/pixels"), spark.read.parquet(f"{path}/meta")
-        joined = join_small(pixels, meta, "layer").select("layer", "row", "col", "value", *META)
-        return joined.withColumn("value", mask_nodata(F.col("value"), nodata))
+        joined = every_cell(pixels, meta) if whole else join_small(pixels, meta, "layer").select("layer", "row", "col", "value", *META)
+        return joined.withColumn("value", mask_nodata(F.col("value").cast("double"), nodata))
 
     return read_or(spark, read, RASTER, on_missing)
 
