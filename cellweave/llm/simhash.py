@@ -24,6 +24,8 @@ SHARE, SHARE_BYTES = 2048, 4 << 20
 #: share of equal bits: what is expected of 4 and 5 shingles of Jaccard 0.8, the worst of all sizes.
 RADIUS, AGREE = 68, 0.8125
 WORK = 1 << 17
+#: Tables of samples whose components are found before the others are compared.
+FIRST = 4
 
 
 def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
@@ -150,11 +152,16 @@ def _within(planes: np.ndarray, query: np.ndarray, tile: np.ndarray, lanes: np.n
     return entry, lanes & ~over
 
 
-def _forest(prints: np.ndarray, first: np.ndarray, radius: int) -> np.ndarray:
-    """Least index linked with each print, inside groups that begin at ``first``."""
+def _forest(prints: np.ndarray, first: np.ndarray, radius: int, root: np.ndarray | None = None) -> np.ndarray:
+    """Least index linked with each print, inside groups that begin at ``first``; equal roots are linked already."""
     n = len(prints)
     start = np.repeat(first, np.diff([*first, n]))
     parent, planes, at = np.arange(n), _planes(prints), np.arange(n)
+    if root is not None:
+        order = np.lexsort((root, start))
+        new = np.ones(n, bool)
+        new[1:] = (root[order[1:]] != root[order[:-1]]) | (start[order[1:]] != start[order[:-1]])
+        parent[order] = order[new][np.cumsum(new) - 1]
     tiles = np.where(start < at, at // 64 - start // 64 + 1, 0)
     upto = np.concatenate([[0], np.cumsum(tiles)])
     for low in range(0, int(upto[-1]), WORK):
@@ -178,24 +185,27 @@ def _forest_edges(keyed: DataFrame, width: int, radius: int) -> DataFrame:
     """Edges (a, b) of a spanning forest of the nodes in ``keyed`` that share (t, k) within the radius.
 
     ``keyed``: t, k, node, f0.. . A key with more than CELL nodes is dealt over pairs of
-    shares, each pair a group of its own, so no task holds more than two shares.
+    shares, each pair a group of its own, so no task holds more than two shares. If it has
+    a column root, nodes of equal root are linked already and the edges join roots.
     """
-    keys, prints = ["t", "k", "i", "j"], [f"f{w}" for w in range(width)]
-    sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys, prints, known = ["t", "k", "i", "j"], [f"f{w}" for w in range(width)], "root" in keyed.columns
+    own = "root" if known else "node"
+    several = F.min("root") < F.max("root") if known else F.lit(True)
+    sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), several.alias("several")).where("n > 1 AND several").drop("several")
     dealt = (
         keyed.join(sizes, ["t", "k"])
         .withColumn("shares", F.ceil(F.col("n") / CELL))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("shares")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
-        .select("t", "k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *prints)
+        .select("t", "k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), own, *prints)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, keys):
-            node = table.column("node").to_numpy()
-            root = _forest(np.stack([table.column(c).to_numpy() for c in prints], axis=1).view(np.uint64), boundaries(table, keys), radius)
-            moved = np.flatnonzero(root != np.arange(len(root)))
-            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
+            node = table.column(own).to_numpy()
+            least = _forest(np.stack([table.column(c).to_numpy() for c in prints], axis=1).view(np.uint64), boundaries(table, keys), radius, node if known else None)
+            moved = np.flatnonzero(node != node[least])
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[least[moved]])], ["a", "b"])
 
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
@@ -230,7 +240,9 @@ def wide_links(prints: DataFrame, width: int, radius: int, agree: float = AGREE,
     Prints that agree on some sample of bits are compared on all. The samples lengthen
     with the logarithm of the number of prints, so that chance puts about as many into a
     group as a tile of bit planes compares at once, and there are so many that a pair whose
-    share of equal bits is ``agree`` is missed in 1 of 100 cases at most.
+    share of equal bits is ``agree`` is missed in 1 of 100 cases at most. What the first
+    samples have linked is one root to the others, so a group of near copies has an edge a
+    member and not one for each sample.
     """
     bits, rng = 64 * width, np.random.default_rng(seed)
     length = max(12, ceil(log2(max(prints.count(), 1) / 64 + 1)))
@@ -239,7 +251,10 @@ def wide_links(prints: DataFrame, width: int, radius: int, agree: float = AGREE,
         drawn = rng.choice(bits, length, replace=False).tolist()
         masks = [sum(1 << (b % 64) for b in drawn if b // 64 == w) for w in range(width)]
         keys.append(F.xxhash64(*[F.col(f"f{w}").bitwiseAND(F.lit(_signed(m))) for w, m in enumerate(masks) if m]))
-    return _forest_edges(_with_keys(prints, keys), width, radius)
+    roots = components(_forest_edges(_with_keys(prints, keys[:FIRST]), width, radius))
+    rooted = settle(prints.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    further = _forest_edges(_with_keys(rooted, keys[FIRST:]), width, radius)
+    return rooted.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(further)
 
 
 def _alike(h: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:

@@ -110,3 +110,19 @@ def test_texts_without_words_drop_no_others(spark):
     rows = [(1, ""), (2, None), (3, " \n")] + [(10 + k, " ".join(f"e{k}w{i}" for i in range(6))) for k in range(400)]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in kept) == [1, *range(10, 410)]
+
+
+def test_group_of_near_copies_has_an_edge_a_member(spark):
+    """Pipeline of round 3: not an edge for each of the samples of bits that two members agree on."""
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 2, (60, 256))
+    bits = np.concatenate([centre[0] ^ (rng.random((300, 256)) < 0.05), centre[1:] ^ 0])
+    prints = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+    rows = spark.createDataFrame([(k, *map(int, p)) for k, p in enumerate(prints)], "node long, f0 long, f1 long, f2 long, f3 long")
+    edges = [r for r in simhash.wide_links(rows, 4, simhash.RADIUS).collect() if r.a != r.b]
+    assert len(edges) <= 450
+    parent = list(range(len(prints)))
+    for _ in parent:
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert parent == [0] * 300 + list(range(300, len(prints)))
