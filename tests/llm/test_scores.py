@@ -222,3 +222,17 @@ def test_only_rows_that_may_be_among_ids_are_scored(spark):
     some = {r._id: r.perplexity for r in kneser_ney.perplexities(docs, model, ["_id"], "_text", ids=ids).collect()}
     assert set(some) >= set(range(0, 500, 7)) and len(some) < 120 and all(whole[k] == v for k, v in some.items())
     assert kneser_ney.perplexities(docs.limit(0), model, ["_id"], "_text", ids=ids).count() == 0
+
+
+def test_ppm_costs_are_found_by_buckets():
+    """op10_ppm of round 3: the binary search of every occurrence took most of the time."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5000):
+        keys = rng.permutation(np.unique(rng.integers(-(2**63), 2**63 - 1, n)))
+        cost = rng.random(len(keys)).astype(np.float32)
+        asked = rng.integers(0, len(keys), 3 * n)
+        assert np.array_equal(ppm.Costs(keys, cost).of(keys[asked]), cost[asked].astype(np.float64))
+    for keys in (np.zeros(0, np.int64), np.array([5, -1, 5, 7, -1, 5])):
+        got, n = ppm._once(keys)
+        want, times = np.unique(keys, return_counts=True)
+        assert np.array_equal(got, want) and np.array_equal(n, times)
