@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from cellweave.llm.text import Tokens, mix, slices
 from cellweave.session import settle
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 24 << 20
 ORDER = 5
 HELD = 2_000_000
+PENDING = 1_000_000
 SLICE = 1 << 20
 BITS = 9
 END = 257
@@ -114,6 +115,15 @@ def _once(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(first, append=len(keys))
 
 
+def _kinds(keys: list[np.ndarray]) -> np.ndarray:
+    """Distinct keys in order."""
+    flat = np.concatenate([np.zeros(0, np.int64), *keys])
+    flat.sort()
+    new = np.ones(len(flat), bool)
+    np.not_equal(flat[1:], flat[:-1], out=new[1:])
+    return flat[new]
+
+
 class Costs:
     """The costs of distinct keys, found by buckets of mixed keys instead of a binary search."""
 
@@ -151,6 +161,17 @@ def _keys(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return words, offsets, *grams(Tokens(texts), order)
 
 
+def distinct_keys(batches: Iterable[pa.RecordBatch], order: int, pending: int = PENDING) -> np.ndarray:
+    """Distinct keys of all texts, in order; beside them, those of few slices wait to be merged."""
+    keys, held = np.zeros(0, np.int64), []
+    for part in slices(batches, "_text", SLICE):
+        words, _, found, _ = _keys(part.column("_text"), order)
+        held.append(_kinds([words, found]))
+        if sum(map(len, held)) > pending:
+            keys, held = _kinds([keys, *held]), []
+    return _kinds([keys, *held])
+
+
 def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of the values of each text; every text has some."""
     return np.add.reduceat(values, offsets[:-1])
@@ -200,8 +221,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str =
     schema = rows.select(F.col("_id"), "held_out").withColumns({"n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"), "base": F.lit(0.0), "score": F.lit(0.0)}).schema
 
     def ask(table: pa.Table) -> pa.Table:
-        found = [_once(np.concatenate([k[0], k[2]]))[0] for part in slices(table.to_batches(), "_text", SLICE) for k in [_keys(part.column("_text"), order)]]
-        keys = _once(np.concatenate(found))[0]
+        keys = distinct_keys(table.to_batches(), order)
         return pa.table({"chunk": np.full(len(keys), table.column("chunk")[0].as_py()), "key": keys})
 
     def add_up(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -2,9 +2,11 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,3 +238,24 @@ def test_ppm_costs_are_found_by_buckets():
         got, n = ppm._once(keys)
         want, times = np.unique(keys, return_counts=True)
         assert np.array_equal(got, want) and np.array_equal(n, times)
+
+
+def test_ppm_keys_of_a_chunk_do_not_wait_by_slice():
+    """op10_ppm of round 3: the keys of all slices of a chunk were held at once, and an executor passed 3000 MB."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(97, 123, 1 << 18))) for _ in range(4)]
+
+    def found(times):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts * times)], ["_text"])
+        tracemalloc.start()
+        keys = ppm.distinct_keys([batch], 3, pending=1 << 20)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return keys, peak
+
+    (few, low), (many, high) = found(2), found(16)
+    parts = [ppm._keys(pa.array([t]), 3) for t in texts]
+    assert np.array_equal(few, np.unique(np.concatenate([k for p in parts for k in (p[0], p[2])])))
+    assert np.array_equal(few, many)
+    assert high < 1.5 * low
+    assert len(ppm.distinct_keys([], 3)) == 0
